@@ -16,7 +16,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """Build (or reuse) a session with AQE on and the UI off."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
+        # local runs: the driver JVM is the only executor
+        builder = (builder.master(master)
+                   .config("spark.driver.memory", os.environ.get("FAULTLINE_DRIVER_MEMORY", "16g"))
+                   .config("spark.driver.maxResultSize", "4g"))
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
