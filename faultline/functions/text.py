@@ -18,12 +18,16 @@ def as_col(c) -> Column:
 
 def translate_month_es(c) -> Column:
     """Lower-case; the first Spanish month (in map order) found is replaced
-    everywhere by its English abbreviation; later months are not looked at."""
+    everywhere by its English abbreviation; later months are not looked at.
+    The month is found by a chain of cheap ``instr`` tests (codegen-friendly) and
+    a single ``replace`` is applied."""
     low = F.lower(as_col(c))
-    months = F.array(*[F.lit(m) for m in C.MONTHS_ES_TO_EN])
+    hit = None
+    for es in C.MONTHS_ES_TO_EN:
+        cond = F.instr(low, es) > 0
+        hit = F.when(cond, F.lit(es)) if hit is None else hit.when(cond, F.lit(es))
     to_en = F.create_map(*[F.lit(x) for kv in C.MONTHS_ES_TO_EN.items() for x in kv])
-    hit = F.get(F.filter(months, lambda m: F.instr(low, m) > 0), 0)
-    return F.when(hit.isNull(), low).otherwise(F.replace(low, hit, F.try_element_at(to_en, hit)))
+    return F.coalesce(F.replace(low, hit, F.try_element_at(to_en, hit)), low)
 
 
 def fault_type(summary) -> Column:

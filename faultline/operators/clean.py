@@ -80,7 +80,7 @@ def clean_tickets(df: DataFrame, renamed: bool = False,
     t = df if renamed else select_renamed(df, C.JIRA_COLUMNS_MAP)
     t = t.dropna(subset=["Fecha_Solucion", "Fecha_Creacion"])
     t = with_parsed_times(t, ["Fecha_Creacion", "Fecha_Solucion"])
-    t = t.dropna(subset=["Fecha_Creacion", "Fecha_Solucion"])
+    # unparsable times give a NULL duration, which the range filter below drops
     t = t.withColumns({
         "Minutos_Resolucion": minutes_between("Fecha_Creacion", "Fecha_Solucion"),
         "Tipo_Falla": fault_type("Resumen"),
