@@ -54,3 +54,41 @@ def tickets_export_text(t):
 @query("sla_clean", W + S.SLA + " SELECT * FROM sla")
 def sla_clean(t):
     return D.sla(t)
+
+
+def _scratch(t, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint directory."""
+    import uuid
+    from faultline.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(t.spark)}/faultline-{name}-{uuid.uuid4().hex[:8]}"
+
+
+@query("tickets_csv_roundtrip", W + S.CLEAN_FROM_RAW + " SELECT * FROM clean")
+def tickets_csv_roundtrip(t):
+    """S6 + S1: land the raw export as CSV, read it back with
+    separator sniffing and all-string columns, clean it."""
+    from faultline.operators import clean
+    from faultline.sources import files
+    path = _scratch(t, "export")
+    files.save(D.tickets_raw(t), path, fmt="csv")
+    return clean.clean_tickets(files.read_tickets(t.spark, path))
+
+
+@query("tickets_csv_tolerant", W + S.CLEAN_FROM_RAW + " SELECT * FROM clean")
+def tickets_csv_tolerant(t):
+    """The same export through the tolerant reader (long lines quarantined)."""
+    from faultline.operators import clean
+    from faultline.sources import files
+    path = _scratch(t, "export-tol")
+    D.tickets_raw(t).write.mode("overwrite").options(header=True, sep=";").csv(path)
+    return clean.clean_tickets(files.read_tickets_tolerant(t.spark, path))
+
+
+@query("sla_from_store", W + S.SLA + " SELECT * FROM sla")
+def sla_from_store(t):
+    """S3 + S7: the SLA sheet stored once as Parquet, then loaded and cleaned."""
+    from faultline.operators import clean
+    from faultline.sources import files, proxies
+    path = _scratch(t, "sla")
+    stored = files.load_or_build(t.spark, path, lambda: proxies.sla_raw(t.events), partition_by=None)
+    return clean.clean_sla(files.read_sla(t.spark, path)) if stored is not None else None
