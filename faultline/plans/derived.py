@@ -39,8 +39,14 @@ def demand_counts(t) -> DataFrame:
         "Fecha", "Zona", "Nodo", F.col("n").alias("Tickets_Total")))
 
 
+def bounds(t):
+    """Global (min, max) date of the demand counts: one scalar job per query; the
+    dense panel ends on the max date, so later cutoffs need no further job."""
+    return t.memo("bounds", lambda: demand.date_bounds(demand_counts(t)))
+
+
 def panel(t) -> DataFrame:
-    return t.memo("panel", lambda: demand.demand_panel(demand_counts(t)))
+    return t.memo("panel", lambda: demand.demand_panel(demand_counts(t), bounds=bounds(t)))
 
 
 def weather_table(t) -> DataFrame:

@@ -24,7 +24,7 @@ def holdout(t):
     """Last 30 panel days held out; statistics from the training part."""
     def build():
         p = D.panel(t)
-        hi = p.agg(F.max("Fecha")).first()[0]
+        hi = D.bounds(t)[1]  # the dense panel ends on the counts' last date
         cutoff = hi - dt.timedelta(days=DAYS - 1)
         train, test = splits.date_cut(p, cutoff)
         return train, test, stats.seasonal_means(train), stats.dow_factors(train)
@@ -154,8 +154,7 @@ FULL JOIN p5 ON coalesce(r.Zona, p4.Zona) = p5.Zona AND coalesce(r.Fecha, p4.Fec
 def holdout_outer(t):
     """Full-outer join of the last 10 actual days with both 30-day forecasts, NULL -> 0."""
     p = D.panel(t)
-    _, test, _, _ = holdout(t)
-    lo = test.agg(F.min("Fecha")).first()[0]
+    lo = D.bounds(t)[1] - dt.timedelta(days=DAYS - 1)
     late = p.filter(F.col("Fecha") >= F.lit(lo + dt.timedelta(days=20)))
     return metrics.outer_three(late, fc_v4(t), fc_v5i(t))
 

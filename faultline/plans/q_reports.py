@@ -112,7 +112,7 @@ zd AS (SELECT Zona, Fecha, sum(Tickets_Total) AS Tickets_Total FROM panel GROUP
 
 
 def cutoff(t):
-    return holdout(t)[1].agg(F.min("Fecha")).first()[0]
+    return D.bounds(t)[1] - dt.timedelta(days=29)
 
 
 @query("weekday_profile", HOLD + """
