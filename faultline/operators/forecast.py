@@ -183,3 +183,11 @@ def forecast_v1_recursive(panel: DataFrame, days: int, y: str = "Tickets_Total")
     init = F.struct(F.col("_win").alias("win"), F.array().cast(out_t).alias("out"))
     res = hist.select(*KEY, F.aggregate(dates, init, step, lambda acc: acc["out"]).alias("_o"))
     return res.select(*KEY, F.inline("_o")).select(*FORECAST_COLUMNS)
+
+
+def model_predictor(model, out: str = "_p"):
+    """Adapter: a fitted quantile model (``operators.quantile``) as the base predictor
+    of the direct forecasts; origin features are exposed under the model's names."""
+    def run(grid: DataFrame) -> DataFrame:
+        return model.predict(grid, out)
+    return run

@@ -164,3 +164,45 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def align_features(df: DataFrame, features) -> DataFrame:
+    """The trained feature list, in order; features missing from ``df`` are 0."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{c}`") if c in have else F.lit(0.0)).alias(c) for c in features])
+
+
+# FIXED VALUES: tuned regressor parameters recorded by the source (trees, rate, depth, subsample)
+TUNED_TREES, TUNED_RATE, TUNED_DEPTH, TUNED_SUBSAMPLE = 118, 0.034236, 9, 0.81929
+
+
+def temporal_evaluation(tickets: DataFrame, cutoff, max_iter: int = TUNED_TREES) -> DataFrame:
+    """M6: fixed-parameter regressor trained on tickets created before ``cutoff`` and
+    scored on the rest (the next period): MAE, accumulated real / predicted minutes."""
+    c = F.lit(cutoff).cast("timestamp_ntz")
+    train = tickets.filter(F.col("Fecha_Creacion") < c)
+    test = tickets.filter(F.col("Fecha_Creacion") >= c)
+    cats = [x for x in REGRESSOR_CATEGORICALS if x in tickets.columns]
+    nums = [x for x in REGRESSOR_NUMERIC if x in tickets.columns]
+    enc_stages, enc = encoded_stages(cats, "Minutos_Resolucion", "continuous")
+    gbt = GBTRegressor(featuresCol="_x", labelCol="Minutos_Resolucion", maxIter=max_iter,
+                       stepSize=TUNED_RATE, maxDepth=TUNED_DEPTH, subsamplingRate=TUNED_SUBSAMPLE, seed=42)
+    model = Pipeline(stages=enc_stages + [VectorAssembler(inputCols=enc + nums, outputCol="_x"), gbt]).fit(train)
+    p = model.transform(test)
+    e = F.abs(F.col("prediction") - F.col("Minutos_Resolucion"))
+    return p.agg(F.avg(e).alias("MAE"), F.sum("Minutos_Resolucion").alias("Real_Acumulado"),
+                 F.sum("prediction").alias("Prediccion_Acumulada"), F.count(F.lit(1)).alias("Tickets"))
+
+
+V1_FEATURES = ["Dia_Semana", "Mes", "Lag_1", "Lag_7", "Media_Movil_7d", "Media_Movil_14d"]
+
+
+def train_demand_v1(panel: DataFrame, max_iter: int = 50, depth: int = 5, seed: int = 42) -> PipelineModel:
+    """M8: zone and node one-hot plus the six panel features, squared-error GBT."""
+    from pyspark.ml.feature import OneHotEncoder
+    stages = [StringIndexer(inputCols=["Zona", "Nodo"], outputCols=["_zi", "_ni"], handleInvalid="keep"),
+              OneHotEncoder(inputCols=["_zi", "_ni"], outputCols=["_zo", "_no"], handleInvalid="keep"),
+              VectorAssembler(inputCols=V1_FEATURES + ["_zo", "_no"], outputCol="_x"),
+              GBTRegressor(featuresCol="_x", labelCol="Tickets_Total", maxIter=max_iter, maxDepth=depth,
+                           seed=seed)]
+    return Pipeline(stages=stages).fit(panel)

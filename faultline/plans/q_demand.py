@@ -219,3 +219,42 @@ samples AS (
 def direct_samples(t):
     """W5 + J10 over the whole panel (about 30x its rows)."""
     return samples.direct_samples(D.panel(t))
+
+
+@query("weather_archive_forecast", W + WEATHER_RAW + """,
+clim2 AS (SELECT Zona, CAST(month(Fecha) AS INTEGER) AS mes, avg(precipitacion_mm) AS p, avg(temp_max) AS x,
+            avg(viento_max_kmh) AS v FROM wraw GROUP BY ALL),
+hi AS (SELECT max(Fecha) AS d FROM wraw),
+fdays AS (SELECT CAST(d - 5 + CAST(i AS INTEGER) AS DATE) AS Fecha FROM hi, range(0, 21) r(i)),
+fc AS (SELECT f.Fecha, c.Zona, c.p AS precipitacion_mm, c.x AS temp_max, c.v AS viento_max_kmh, 0 AS weathercode
+       FROM fdays f JOIN clim2 c ON c.mes = month(f.Fecha)),
+u AS (SELECT *, 0 AS src FROM wraw UNION ALL SELECT *, 1 FROM fc),
+k AS (SELECT *, row_number() OVER (PARTITION BY Zona, Fecha ORDER BY src) AS rn FROM u)
+SELECT Fecha, Zona, precipitacion_mm, temp_max, viento_max_kmh, CAST(weathercode AS INTEGER) AS weathercode
+FROM k WHERE rn = 1""")
+def weather_archive_forecast(t):
+    """U1 + W11: archive rows plus a 21-day climatology 'forecast' that overlaps the
+    archive's last 5 days; per (zone, day) the archive row wins."""
+    import datetime as _dt
+    raw = proxies.weather_from_lines(D.line_daily(t))
+    hi = raw.agg(F.max("Fecha")).first()[0]
+    clim = raw.groupBy("Zona", F.month("Fecha").alias("_m")).agg(
+        F.avg("precipitacion_mm").alias("precipitacion_mm"), F.avg("temp_max").alias("temp_max"),
+        F.avg("viento_max_kmh").alias("viento_max_kmh"))
+    days = raw.sparkSession.range(0, 21).select(
+        F.date_add(F.lit(hi - _dt.timedelta(days=5)), F.col("id").cast("int")).alias("Fecha"))
+    fc = (days.join(F.broadcast(clim), F.month("Fecha") == F.col("_m"))
+          .select("Fecha", "Zona", "precipitacion_mm", "temp_max", "viento_max_kmh",
+                  F.lit(0).cast("int").alias("weathercode")))
+    return weather.union_keep_first(raw, fc)
+
+
+@query("export_demand_counts", W + S.RAW_TICKETS + f""",
+ed AS (SELECT CAST(CAST({S.sql_parse_time('Fecha_Creacion')} AS TIMESTAMP) AS DATE) AS Fecha,
+         trim(coalesce(Zona, 'DESCONOCIDO')) AS Zona, coalesce(Nodo, 'DESCONOCIDO') AS Nodo FROM raw)
+SELECT Fecha, Zona, Nodo, count(*) AS Tickets_Total FROM ed WHERE Fecha IS NOT NULL GROUP BY ALL""")
+def export_demand_counts(t):
+    """P14 + P4 + P8 + D1: demand counts straight from the raw export, its date, zone
+    and node columns found by name (then by substring)."""
+    from faultline.operators import clean
+    return demand.daily_counts(clean.demand_tickets_from_export(D.tickets_raw(t)))

@@ -79,3 +79,44 @@ def forecast_v5_model(t):
     tr, _, _, _ = holdout(t)
     bundle = v5.train_v5(tr, D.weather_table(t), rounds=4, depth=4, span_days=120)
     return v5.forecast_v5_model(tr, bundle, 14, weather=D.weather_table(t))
+
+
+@query("forecast_v4_model")
+def forecast_v4_model(t):
+    """M9 + M10: V4 with a pooled alpha=0.6 quantile-boosting model over the V4 origin
+    features, calendar and weather, then the weekday damping and seasonal blend."""
+    from faultline import config as C
+    from faultline.operators import forecast, samples
+    from faultline.operators.quantile import QuantileGBM
+    from faultline.operators.stats import add_calendar
+    from faultline.operators.weather import lookup_weather
+    tr, _, se, fa = holdout(t)
+    hi = D.bounds(t)[1]
+    s = samples.direct_samples(tr).filter(F.col("Fecha") > F.lit(hi - dt.timedelta(days=150)))
+    s = lookup_weather(add_calendar(s), D.weather_table(t))
+    feats = ["Dia_Semana", "Mes", "Horizonte", "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin",
+             "Media_Movil_14d_origin", "es_festivo", "es_quincena", "semana_del_mes", "dia_del_mes",
+             "es_lunes", "es_viernes", "es_finsemana", "precipitacion_mm", "temp_max", "viento_max_kmh",
+             "es_lluvia_fuerte", "es_lluvia", "lluvia_acum_3d"]
+    m = QuantileGBM(alpha=C.V4_QUANTILE_ALPHA, features=feats, rounds=4, depth=4).fit(s, "Tickets_Total")
+    return forecast.forecast_v4(tr, se, fa, 30, predictor=forecast.model_predictor(m),
+                                weather=D.weather_table(t))
+
+
+@query("resolution_temporal_evaluation")
+def resolution_temporal_evaluation(t):
+    """M6: tuned fixed-parameter regressor, trained before the last 10 days of tickets
+    and evaluated on them (D21-style totals)."""
+    tk = D.tickets_clean(t)
+    hi = tk.agg(F.max("Fecha_Creacion")).first()[0]
+    return models.temporal_evaluation(tk, hi - dt.timedelta(days=10), max_iter=20)
+
+
+@query("demand_v1_model")
+def demand_v1_model(t):
+    """M8: one-hot zone/node GBT on the panel; held-out last-30-day MAE per zone."""
+    tr, te, _, _ = holdout(t)
+    model = models.train_demand_v1(tr, max_iter=20, depth=4)
+    p = model.transform(te)
+    e = F.abs(F.col("prediction") - F.col("Tickets_Total"))
+    return p.groupBy("Zona").agg(F.avg(e).alias("MAE"), F.count(F.lit(1)).alias("Filas"))
