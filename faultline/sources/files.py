@@ -37,7 +37,7 @@ def header_names(header: str, sep: str) -> list:
     return out
 
 
-def read_tickets(spark: SparkSession, path: str, columns=None) -> DataFrame:
+def read_tickets(spark: SparkSession, path: str, columns=None, all_columns: bool = False) -> DataFrame:
     """The raw export as all-string columns (no inference), multi-line quoted
     fields allowed; only the mapped columns are kept (pruned at the scan)."""
     opt = sniff_csv(spark, path)
@@ -47,6 +47,8 @@ def read_tickets(spark: SparkSession, path: str, columns=None) -> DataFrame:
           .options(header=True, sep=opt["sep"], encoding=opt["encoding"], multiLine=True,
                    quote='"', escape='"', mode="PERMISSIVE", enforceSchema=True)
           .csv(path))
+    if all_columns:
+        return df
     want = list(columns or C.JIRA_COLUMNS_MAP)
     return df.select(*[F.col(f"`{c}`") for c in want if c in names])
 

@@ -22,3 +22,21 @@ def test_queries_resolve(spark):
         if name in skip:
             continue
         assert fn(spark, SF).schema.fields, name
+
+
+def test_api_process_jira_roundtrip(spark, tmp_path):
+    """S1 + P1-P12 through the API name, from a semicolon export with a repeated header."""
+    from faultline import api
+    path = tmp_path / "export.csv"
+    head = ("Resumen;Prioridad;Creada;Campo personalizado (Solución afectación );"
+            "Campo personalizado (Nodo Afectado);Campo personalizado (Usuarios Iniciales Afectados);"
+            "Nombre del proyecto;Comentario;Comentario")
+    lines = [head,
+             'NOC/A/ corte fibra ;Alta;12/may/26 3:45 PM;12/may/26 6:45 PM;Chapinero;12;Zona Centro;"a;b";x',
+             'NOC/A/energia;Baja;02/sep/26 15:45;02/sep/26 15:50;;1,2;Zona Centro;;',
+             'sin barra;Media;junk;12/may/26 6:45 PM;N;3;Z;;']
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    rows = api.process_jira(spark, str(path)).collect()
+    assert len(rows) == 1  # 5-minute ticket and unparsable date dropped
+    r = rows[0]
+    assert r.Tipo_Falla == "CORTE FIBRA" and r.Minutos_Resolucion == 180.0 and r.Nodo == "CHAPINERO"
