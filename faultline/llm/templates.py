@@ -24,10 +24,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import WordHashes, as_bytes, signed, windows, written
+from faultline.llm.common import WORD_CACHE, as_bytes, signed, windows, written
 
 WINDOW = 8
 LEAST = 4
@@ -43,45 +44,48 @@ twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million b
 _UNITS = frozenset("""% $ € £ ° mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds ounce ounces
 ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent cents euro
 euros percent degree degrees kmh mph watt watts volt volts joule joules meter meters metre metres centimeter centimeters kilometer kilometers""".split())
-_SLOTS = (b"\x00number", b"\x00unit", b"\x00name")
-_WORDS: list = []
+STOP, NUMBER, UNIT, NAME = 1, 2, 3, 4
+_TOKENS: list = []
+
+
+class _Tokens(dict):
+    """token -> hash of its lower-case form and its kind, as 16 bytes."""
+
+    def __missing__(self, token: str) -> bytes:
+        low = token.lower()
+        kind = STOP if token in _STOPS else NUMBER if token[0].isdigit() or low in _NUMBERS else UNIT if low in _UNITS else (
+            NAME if token[0].isupper() and not token.isupper() else 0)
+        found = xxhash.xxh3_64_digest(low.encode("utf-8", "replace")) + bytes([kind, 0, 0, 0, 0, 0, 0, 0])
+        if len(token) <= 64:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[token] = found
+        return found
 
 
 def canonical(text: str) -> tuple:
-    """Per word: its template in the view with names, in the view without, and its own lower-case form."""
-    words, names, plain = [], [], []
-    after_stop = True
-    for m in _TOKEN.finditer(text):
-        w = m[0]
-        if w in _STOPS:
-            after_stop = True
-            continue
-        low = w.lower()
-        own = low.encode("utf-8", "replace")
-        words.append(own)
-        if w[0].isdigit() or low in _NUMBERS:
-            names.append(_SLOTS[0])
-            plain.append(_SLOTS[0])
-        elif low in _UNITS:
-            names.append(own)
-            plain.append(own)
-        else:
-            names.append(_SLOTS[2] if not after_stop and w[0].isupper() and not w.isupper() else own)
-            plain.append(own)
-        after_stop = False
-    # a unit is one only beside a number
-    for i, own in enumerate(words):
-        if own.decode() in _UNITS and (i and plain[i - 1] == _SLOTS[0] or i + 1 < len(words) and plain[i + 1] == _SLOTS[0]):
-            names[i] = plain[i] = _SLOTS[1]
-    return names, plain, words
-
-
-def _view(template: list, words: list, view: int) -> tuple:
-    """Hashes of the template words, whether each is a slot, hashes of the own words."""
-    if not _WORDS:
-        _WORDS.append(WordHashes())
-    slot = np.array([t[:1] == b"\x00" for t in template], bool)
-    return _WORDS[0].of(template) ^ np.uint64(view), slot, signed(_WORDS[0].of(words))
+    """Hashes of the words' lower-case forms; per word the slot type (0 none) in the view with
+    names and in the view without."""
+    if not _TOKENS:
+        _TOKENS.append(_Tokens())
+    table = np.frombuffer(b"".join(map(_TOKENS[0].__getitem__, _TOKEN.findall(text))), "<u8").reshape(-1, 2)
+    kind = table[:, 1]
+    words = kind != STOP
+    first = np.concatenate(([True], ~words[:-1]))[words]  # after a stop, or at the start
+    own, kind = table[words, 0], kind[words]
+    number = kind == NUMBER
+    beside = np.zeros(len(own), bool)  # a unit is one only beside a number
+    beside[1:] |= number[:-1]
+    beside[:-1] |= number[1:]
+    plain = np.where(number, NUMBER, np.where((kind == UNIT) & beside, UNIT, 0))
+    return own, np.where((kind == NAME) & ~first, NAME, plain), plain
+
+
+def _views(text: str):
+    """(view, hashes of the template words, whether each is a slot, hashes of the own words)"""
+    own, names, plain = canonical(text)
+    for view, slots in enumerate((names, plain)):
+        yield view, np.where(slots > 0, slots.astype(np.uint64), own) ^ np.uint64(view), slots > 0, signed(own)
 
 
 _WIN = pa.schema([("id", pa.int64()), ("view", pa.int32()), ("at", pa.int32()), ("hash", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), ("slots", pa.list_(pa.int64()))])
@@ -106,12 +110,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for item, text in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                names, plain, words = canonical(text.decode("utf-8", "replace"))
-                if len(words) < LEAST:
-                    continue
-                k = min(WINDOW, len(words))
-                for view, template in enumerate((names, plain)):
-                    hashes, slot, own = _view(template, words, view)
+                for view, hashes, slot, own in _views(text.decode("utf-8", "replace")):
+                    if len(own) < LEAST:
+                        continue
+                    k = min(WINDOW, len(own))
                     good = np.flatnonzero(_literal(slot, k))
                     keys = signed(windows(hashes, k))
                     found += [(item, view, int(i), int(keys[i]), len(good), k, own[i:i + k][slot[i:i + k]].tolist()) for i in good]
@@ -139,13 +141,9 @@ def _document_windows(docs: DataFrame, bit_map: np.ndarray, lengths: list) -> Da
         for batch in batches:
             found = []
             for doc, text in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                names, plain, words = canonical(text.decode("utf-8", "replace"))
-                for view, template in enumerate((names, plain)):
-                    if len(words) < LEAST:
-                        continue
-                    hashes, slot, own = _view(template, words, view)
+                for view, hashes, slot, own in _views(text.decode("utf-8", "replace")):
                     for k in lengths:
-                        if len(words) < k:
+                        if len(own) < k:
                             continue
                         keys = windows(hashes, k)
                         low = keys & np.uint64((1 << MAP_BITS) - 1)
