@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 SHARDS = 16
 VNODES = 64
 RING_BITS = 60
+#: equal parts of the ring for looking places up
+STRETCHES = 1024
 #: rows of a ranking bucket, about
 BUCKET_ROWS = 4_000
 
@@ -63,27 +65,24 @@ def cascade(counts: list, owners: list, bounds: list) -> list:
 
 def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` (key, text) as key, size, text_crc32, shard, slot."""
+    spark = docs.sparkSession
     ring = places(shards, vnodes)
     ends = [p for p, _ in ring]
-    # the arc of a position: how many places lie before it; the last arc wraps around to the first place
-    step = 1 << (RING_BITS - 10)
-    table = F.array(*[F.lit(e) for e in ends])
     text = F.col("text").cast("string")
     rows = docs.select(F.col(key), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.coalesce(F.crc32(text), F.lit(0)).alias("text_crc32"))
     rows = rows.withColumn("position", _hash(F.col(key))).withColumn("tie", F.xxhash64(F.col(key), "text_crc32"))
-    # a lookup by the position's first bits, then the few places of that stretch
-    first = [sum(e < b * step for e in ends) for b in range(1025)]
-    low = F.element_at(F.array(*[F.lit(x) for x in first[:-1]]), (F.shiftright("position", RING_BITS - 10) + 1).cast("int"))
-    most = max(first[b + 1] - first[b] for b in range(1024))
-    arc = low
-    for i in range(most):
-        at = F.least(low + i + 1, F.lit(len(ends)))
-        arc = arc + F.when((low + i < len(ends)) & (F.element_at(table, at.cast("int")) < F.col("position")) & (F.shiftright(F.element_at(table, at.cast("int")), RING_BITS - 10) == F.shiftright("position", RING_BITS - 10)), 1).otherwise(0)
-    rows = rows.withColumn("arc", F.pmod(arc, F.lit(len(ends))).cast("int"))
+    # the arc: how many places lie before the position, looked up by the position's first bits
+    # (STRETCHES rows) among the few places of that stretch; the last arc wraps around to the first place
+    width = (1 << RING_BITS) // STRETCHES
+    stretch = [(b, sum(e < b * width for e in ends), [e for e in ends if e // width == b]) for b in range(STRETCHES)]
+    lookup = spark.createDataFrame(stretch, "stretch int, low int, own array<long>")
+    rows = rows.withColumn("stretch", F.expr(f"cast(position div {width} AS int)"))
+    arc = F.col("low") + F.size(F.filter("own", lambda e: e < F.col("position")))
+    rows = rows.join(F.broadcast(lookup), "stretch").withColumn("arc", F.pmod(arc, F.lit(len(ends)))).drop("stretch", "low", "own")
     by_arc = dict(rows.groupBy("arc").count().collect())  # shards x vnodes rows
     total = sum(by_arc.values())
-    buckets = F.array(*[F.lit(1 + by_arc.get(a, 0) // BUCKET_ROWS) for a in range(len(ends))])
-    rows = rows.withColumn("bucket", F.pmod("tie", F.element_at(buckets, F.col("arc") + 1)).cast("int"))
+    buckets = spark.createDataFrame([(a, 1 + by_arc.get(a, 0) // BUCKET_ROWS) for a in range(len(ends))], "arc int, buckets int")
+    rows = rows.join(F.broadcast(buckets), "arc").withColumn("bucket", F.pmod("tie", F.col("buckets")).cast("int")).drop("buckets")
     counts = rows.groupBy("arc", "bucket").agg(F.count("*").alias("n"))
     bounds = [total // shards + (s < total % shards) for s in range(shards)]
     ways = cascade([by_arc.get(a, 0) for a in range(len(ends))], [s for _, s in ring], bounds)
@@ -95,7 +94,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, vnodes: int = VNODES, key: str
             stretches.append((a, shard, lo, lo + n, used[shard] - lo))
             used[shard] += n
             lo += n
-    plan = docs.sparkSession.createDataFrame(stretches, "arc int, shard int, lo long, hi long, shift long")
+    plan = spark.createDataFrame(stretches, "arc int, shard int, lo long, hi long, shift long")
     plan = plan.groupBy("arc").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "shard", "shift"))).alias("way"))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("arc").orderBy("bucket")) - F.col("n")).select("arc", "bucket", "before")
     ranked = rows.withColumn("own", F.row_number().over(Window.partitionBy("arc", "bucket").orderBy("position", "tie", "size")) - 1)
