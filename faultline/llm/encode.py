@@ -33,6 +33,33 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
         self.known: dict[str, bytes] = {}
+        if keeps_space:
+            (self._newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        else:
+            vocabulary = self.tokenizer.get_vocab()
+            self._word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+            self._word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _learn(self, new: list) -> None:
+        """Encode pieces not met so far. Runs of letters are one unit of the tokenizer each, so
+        many go in one text, and the ids are cut at the newlines (or at the ends of words)."""
+        letters = [p for p in new if (p[1:] if p[0] == " " else p).isalpha() and _PLAIN.match(p)]
+        for i in range(0, len(letters), 2000):
+            part = letters[i:i + 2000]
+            ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            if self.keeps_space:
+                breaks = np.flatnonzero(ids == self._newline)
+                starts, ends = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(ids)]))
+            else:
+                ends = np.flatnonzero(self._word_end[ids]) + 1
+                starts = np.concatenate(([0], ends[:-1]))
+            if len(starts) != len(part):  # a tokenizer that cuts otherwise: one by one
+                self.known.update(zip(part, self._ids(part)))
+                continue
+            raw = ids.tobytes()
+            self.known.update((p, raw[4 * a:4 * b]) for p, a, b in zip(part, starts.tolist(), ends.tolist()))
+        rest = list(set(new).difference(letters))
+        self.known.update(zip(rest, self._ids(rest)))
 
     def _ids(self, texts: list) -> list:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -50,8 +77,7 @@ class Encoder:
         if len(known) > CACHE_PIECES:
             known.clear()
         cut = [self._pieces(x) for x in texts]
-        new = list(set().union(*(p for p in cut if p)).difference(known))
-        known.update(zip(new, self._ids(new)))
+        self._learn(list(set().union(*(p for p in cut if p)).difference(known)))
         get = known.__getitem__
         return [self._ids([x])[0] if pieces is None else b"".join(map(get, pieces)) for x, pieces in zip(texts, cut)]
 
