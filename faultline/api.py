@@ -35,8 +35,8 @@ save_processed_data = files.save                                        # S6
 
 
 def get_weather_for_zones(stored: DataFrame, start_date, end_date, zones=None):  # S4, U1, W11, P20, W4
-    rows, missing = weather.read_stored_weather(stored, start_date, end_date, zones)
-    return weather.weather_features(rows), missing
+    # features over the whole store first: the range's first days need the rain before them
+    return weather.read_stored_weather(weather.weather_features(stored), start_date, end_date, zones)
 
 
 get_weather_features_for_dates = weather.lookup_weather                 # J8, D12

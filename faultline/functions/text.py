@@ -1,6 +1,8 @@
 """String expressions: month translation, fault type, node/zone labels, folding."""
 from __future__ import annotations
 
+import functools
+
 import re
 
 from pyspark.sql import Column
@@ -60,41 +62,15 @@ def fold_accents(c, fold_enye: bool = True) -> Column:
     return F.trim(F.translate(F.lower(as_col(c)), src, dst))
 
 
-def _exceptions_flatten_safely() -> bool:
-    """The sequential spelling rules can be one CASE only if no replacement text
-    triggers a later rule; checked once for the fixed rule list."""
-    rules = C.NODE_SPELLING_EXCEPTIONS
-    for i, (_, repl) in enumerate(rules):
-        for needles, _ in rules[i + 1:]:
-            if all(n in repl for n in needles):
-                return False
-    return True
-
-
-_FLAT_EXCEPTIONS = _exceptions_flatten_safely()
-
-
 def normalise_node(c, fold_enye: bool = True) -> Column:
-    """Accent fold plus the spelling exceptions, applied in order (as a single
-    CASE over the folded name when that is equivalent, which it is for the fixed list)."""
+    """Accent fold plus the spelling exceptions; no exception's result triggers a later
+    one, so the ordered rules are one CASE over the folded name."""
     base = fold_accents(c, fold_enye)
-    if _FLAT_EXCEPTIONS:
-        out = None
-        for needles, repl in C.NODE_SPELLING_EXCEPTIONS:
-            cond = None
-            for n in needles:
-                part = F.instr(base, n) > 0
-                cond = part if cond is None else (cond & part)
-            out = F.when(cond, F.lit(repl)) if out is None else out.when(cond, F.lit(repl))
-        return out.otherwise(base)
-    out = base
+    out = F
     for needles, repl in C.NODE_SPELLING_EXCEPTIONS:
-        cond = None
-        for n in needles:
-            part = F.instr(out, n) > 0
-            cond = part if cond is None else (cond & part)
-        out = F.when(cond, F.lit(repl)).otherwise(out)
-    return out
+        hits = functools.reduce(lambda a, b: a & b, [F.instr(base, n) > 0 for n in needles])
+        out = out.when(hits, F.lit(repl))
+    return out.otherwise(base)
 
 
 def short_label(c, n: int = 15) -> Column:

@@ -93,10 +93,10 @@ def clean_tickets(df: DataFrame, renamed: bool = False,
     return t.select(*TICKET_COLUMNS)
 
 
-def clean_sla(df: DataFrame) -> DataFrame:
-    """SLA ETL: P13 column check, P2 label NULL drop, P15 target."""
+def clean_sla(df: DataFrame, keep=()) -> DataFrame:
+    """SLA ETL: P13 column check, P2 label NULL drop, P15 target; ``keep``: further columns."""
     require_columns(df, SLA_COLUMNS, "SLA sheet")
-    s = df.select(*[F.col(f"`{c}`") for c in SLA_COLUMNS])
+    s = df.select(*[F.col(f"`{c}`") for c in [*keep, *SLA_COLUMNS]])
     s = s.dropna(subset=["CUMPLE/NO CUMPLE"])
     return s.withColumn("Target", sla_target(F.col("`CUMPLE/NO CUMPLE`")))
 

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +57,12 @@ def random_grid(est, space: dict, n: int, seed: int = 42):
     return maps
 
 
+def row_key(df: DataFrame, id_col: str):
+    """A key that a re-plan or retry does not change: the id column where there is one, else a
+    hash of all columns (equal rows then share a fold)."""
+    return F.col(id_col) if id_col in df.columns else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def train_sla_classifier(sla: DataFrame, trials: int = 10, folds: int = 3, max_iter: int = 50,
                          seed: int = 42, parallelism: int = 2):
     """M1: target-encoded categoricals, class weight n(0)/n(1) on the positive class,
@@ -65,8 +71,7 @@ def train_sla_classifier(sla: DataFrame, trials: int = 10, folds: int = 3, max_i
     from faultline.operators.reports import label_balance
     w = label_balance(sla).first()["Peso_Clase"]
     data = sla.withColumn("_w", F.when(F.col("Target") == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
-    data = hashed_folds(data.withColumn("_rid", F.monotonically_increasing_id()),
-                        SLA_CATEGORICALS + ["_rid"], 5, seed, label="Target")
+    data = hashed_folds(data.withColumn("_rid", row_key(data, "event_id")), ["_rid"], 5, seed, label="Target")
     train, test = data.filter("fold <> 0"), data.filter("fold = 0")
     enc_stages, enc = encoded_stages(SLA_CATEGORICALS, "Target", "binary")
     gbt = GBTClassifier(featuresCol="_x", labelCol="Target", weightCol="_w", maxIter=max_iter, seed=seed)
@@ -106,7 +111,7 @@ def train_resolution_regressor(tickets: DataFrame, trials: int = 10, folds: int
     MAE, then MAE / RMSE on a hashed 80/20 split. Returns (model, metrics)."""
     cats = [c for c in REGRESSOR_CATEGORICALS if c in tickets.columns]
     nums = [c for c in REGRESSOR_NUMERIC if c in tickets.columns]
-    data = tickets.withColumn("_rid", F.monotonically_increasing_id())
+    data = tickets.withColumn("_rid", row_key(tickets, "event_id"))
     data = data.withColumn("_split", F.pmod(F.xxhash64("_rid", *[F.col(c) for c in cats], F.lit(seed)), F.lit(5)))
     train, test = data.filter("_split <> 0"), data.filter("_split = 0")
     enc_stages, enc = encoded_stages(cats, "Minutos_Resolucion", "continuous")

@@ -97,11 +97,12 @@ def time_folds(df: DataFrame, n_splits: int = 5, col: str = "Fecha") -> DataFram
 
 def hashed_folds(df: DataFrame, key_cols, k: int, seed: int = 42,
                  label: str | None = None) -> DataFrame:
-    """M5: fold id from a seeded hash of the key. With ``label`` the hash also covers
+    """M5: fold id from a seeded hash (MD5, as any SQL engine has it) of the key. With ``label`` the hash also covers
     the label, so every class spreads evenly over the folds (stratified in
     expectation) without gathering a class into one task."""
-    cols = [F.col(c) for c in key_cols] + ([F.col(label)] if label else [])
-    return df.withColumn("fold", F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(k)).cast("int"))
+    cols = [F.col(c).cast("string") for c in key_cols] + ([F.col(label).cast("string")] if label else [])
+    digest = F.md5(F.concat_ws("|", *cols, F.lit(str(seed))))
+    return df.withColumn("fold", F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(k)).cast("int"))
 
 
 def backcast_cutoffs(spark: SparkSession, cutoffs_days) -> DataFrame:

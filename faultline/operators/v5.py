@@ -25,12 +25,13 @@ RENAME = {"Lag_1_origin": "Lag_1", "Lag_7_origin": "Lag_7", "Media_Movil_7d_orig
           "Media_Movil_14d_origin": "Media_Movil_14d"}
 
 
-def training_frame(panel: DataFrame, weather: DataFrame | None, te: DataFrame, span_days: int = 365) -> DataFrame:
-    """Direct samples (J10) of targets in the last ``span_days`` days, with calendar
+def training_frame(panel: DataFrame, weather: DataFrame | None, te: DataFrame, span_days: int | None = None) -> DataFrame:
+    """Direct samples (J10), all of them or the targets of the last ``span_days`` days, with calendar
     (P18), weather (J8) and target encoding (J7) features."""
     s = samples.direct_samples(panel)
-    hi = panel.agg(F.max("Fecha")).first()[0]
-    s = s.filter(F.col("Fecha") > F.date_sub(F.lit(hi), span_days))
+    if span_days is not None:
+        hi = panel.agg(F.max("Fecha")).first()[0]
+        s = s.filter(F.col("Fecha") > F.date_sub(F.lit(hi), span_days))
     s = s.withColumnsRenamed(RENAME).withColumns(calendar_columns("Fecha"))
     s = lookup_weather(s, weather) if weather is not None else s.withColumns(
         {c: F.lit(0.0) for c in WEATHER_FEATURES})
@@ -38,7 +39,7 @@ def training_frame(panel: DataFrame, weather: DataFrame | None, te: DataFrame, s
 
 
 def train_v5(panel: DataFrame, weather: DataFrame | None = None, rounds: int = 10, depth: int = 4,
-             rate: float = 0.3, span_days: int = 365):
+             rate: float = 0.3, span_days: int | None = None):
     """Three pooled quantile models (0.3 / 0.5 / 0.7) plus the statistics."""
     te = stats.target_encoding(panel)
     tf = cut_lineage(training_frame(panel, weather, te, span_days))

@@ -81,6 +81,9 @@ def read_stored_weather(weather: DataFrame, start, end, zones=None):
     """Return the stored rows of [start, end] for the zones it fully covers, and
     the list of zones it does not cover (those would need fetching)."""
     cov = coverage(weather, start, end, zones)
+    if zones is not None:  # a zone the store has no row of is not covered either
+        asked = weather.sparkSession.createDataFrame([(z,) for z in sorted(set(zones))], "Zona string")
+        cov = asked.join(cov, "Zona", "left").withColumn("cubre", F.coalesce("cubre", F.lit(False)))
     ok = cov.filter("cubre").select("Zona")
     rows = (weather.join(ok, "Zona", "left_semi")
             .filter(F.col("Fecha").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))

@@ -29,6 +29,10 @@ def sla(t) -> DataFrame:
     return t.memo("sla", lambda: clean.clean_sla(proxies.sla_raw(t.events)))
 
 
+def sla_with_id(t) -> DataFrame:
+    return t.memo("sla_with_id", lambda: clean.clean_sla(proxies.sla_raw(t.events, with_id=True), keep=["event_id"]))
+
+
 def line_daily(t) -> DataFrame:
     return t.memo("line_daily", lambda: proxies.line_daily(t.lineitem, t.supplier, t.nation,
                                                              t.region))

@@ -211,7 +211,7 @@ samples AS (
   SELECT t.Fecha, t.Zona, t.Nodo, t.Tickets_Total, CAST(isodow(t.Fecha) - 1 AS INTEGER) AS Dia_Semana,
     CAST(month(t.Fecha) AS INTEGER) AS Mes, CAST(t.idx - o.idx AS INTEGER) AS Horizonte,
     o.Lag_1_origin, o.Lag_7_origin, o.Media_Movil_7d_origin, o.Media_Movil_14d_origin
-  FROM s t JOIN o ON t.Zona = o.Zona AND t.Nodo = o.Nodo AND t.idx - o.idx BETWEEN 1 AND 30
+  FROM s t CROSS JOIN range(1, 31) h(k) JOIN o ON t.Zona = o.Zona AND t.Nodo = o.Nodo AND o.idx = t.idx - h.k
   WHERE t.idx >= 14 AND o.idx >= 7)"""
 
 
@@ -243,7 +243,7 @@ def weather_archive_forecast(t):
         F.avg("viento_max_kmh").alias("viento_max_kmh"))
     days = raw.sparkSession.range(0, 21).select(
         F.date_add(F.lit(hi - _dt.timedelta(days=5)), F.col("id").cast("int")).alias("Fecha"))
-    fc = (days.join(F.broadcast(clim), F.month("Fecha") == F.col("_m"))
+    fc = (days.join(clim, F.month("Fecha") == F.col("_m"))
           .select("Fecha", "Zona", "precipitacion_mm", "temp_max", "viento_max_kmh",
                   F.lit(0).cast("int").alias("weathercode")))
     return weather.union_keep_first(raw, fc)

@@ -146,16 +146,17 @@ def holdout_three_way(t):
 @query("holdout_outer", ALL_FC + """,
 p4 AS (SELECT Zona, Fecha, sum(Prediccion_Tickets) AS V4 FROM v4fc GROUP BY ALL),
 p5 AS (SELECT Zona, Fecha, sum(Prediccion_Tickets) AS V5 FROM v5ifc GROUP BY ALL),
-realz2 AS (SELECT Zona, Fecha, sum(Tickets_Total) AS Real FROM panel WHERE Fecha >= (SELECT cutoff + 20 FROM hold) GROUP BY ALL)
+realz2 AS (SELECT Zona, Fecha, sum(Tickets_Total) AS Real FROM panel WHERE Fecha >= (SELECT cutoff - 10 FROM hold) GROUP BY ALL)
 SELECT coalesce(r.Zona, p4.Zona, p5.Zona) AS Zona, coalesce(r.Fecha, p4.Fecha, p5.Fecha) AS Fecha,
   coalesce(r.Real, 0) AS Real, coalesce(p4.V4, 0) AS V4, coalesce(p5.V5, 0) AS V5
 FROM realz2 r FULL JOIN p4 ON r.Zona = p4.Zona AND r.Fecha = p4.Fecha
 FULL JOIN p5 ON coalesce(r.Zona, p4.Zona) = p5.Zona AND coalesce(r.Fecha, p4.Fecha) = p5.Fecha""")
 def holdout_outer(t):
-    """Full-outer join of the last 10 actual days with both 30-day forecasts, NULL -> 0."""
+    """Full-outer join of the actuals, which begin 10 days before the forecasts, with
+    both 30-day forecasts, NULL -> 0."""
     p = D.panel(t)
     lo = D.bounds(t)[1] - dt.timedelta(days=DAYS - 1)
-    late = p.filter(F.col("Fecha") >= F.lit(lo + dt.timedelta(days=20)))
+    late = p.filter(F.col("Fecha") >= F.lit(lo - dt.timedelta(days=10)))
     return metrics.outer_three(late, fc_v4(t), fc_v5i(t))
 
 

@@ -31,14 +31,14 @@ def critical_cluster_top(t):
 def sla_classifier_report(t):
     """M1 + M3 + M4 + M5 + D26: weighted GBT breach classifier, random search on
     weighted F1 over 3 stratified folds, per-class report on the held-out 20 %."""
-    _, rep = models.train_sla_classifier(D.sla(t), trials=2, folds=3, max_iter=10)
+    _, rep = models.train_sla_classifier(D.sla_with_id(t), trials=2, folds=3, max_iter=10)
     return rep
 
 
 @query("ticket_risk_scores")
 def ticket_risk_scores(t):
     """Score every SLA row with the trained classifier (probability %, tier)."""
-    model, _ = models.train_sla_classifier(D.sla(t), trials=1, folds=2, max_iter=10)
+    model, _ = models.train_sla_classifier(D.sla_with_id(t), trials=1, folds=2, max_iter=10)
     return models.score_tickets(model, D.sla(t).select("Prioridad", "CENTRAL", "SUEPERVISOR"))
 
 
@@ -64,7 +64,8 @@ def weekly_autoregression(t):
     sw = scaled_windows(zd)
     sw = sw.select("Zona", "Fecha", "Tickets_Total", "Escalado",
                    *[F.element_at("Ventana", 8 - k).alias(f"x{k}") for k in range(1, 8)])
-    sw = chrono_split(sw)
+    # the windows dropped each zone's first week already: 15 original rows are 8 here
+    sw = chrono_split(sw, window=0, min_rows=8)
     _, pred = models.weekly_autoregression(sw)
     lohi = zd.groupBy("Zona").agg(F.min("Tickets_Total").alias("_lo"), F.max("Tickets_Total").alias("_hi"))
     pred = pred.join(lohi, "Zona").withColumn(
@@ -75,10 +76,10 @@ def weekly_autoregression(t):
 @query("forecast_v5_model")
 def forecast_v5_model(t):
     """M11 + M12 + M13: pooled quantile boosting (3 alphas) scored iteratively over
-    14 held-out days, with the lineage-derived weather."""
+    the 30 held-out days, with the lineage-derived weather."""
     tr, _, _, _ = holdout(t)
-    bundle = v5.train_v5(tr, D.weather_table(t), rounds=4, depth=4, span_days=120)
-    return v5.forecast_v5_model(tr, bundle, 14, weather=D.weather_table(t))
+    bundle = v5.train_v5(tr, D.weather_table(t), rounds=4, depth=4)
+    return v5.forecast_v5_model(tr, bundle, 30, weather=D.weather_table(t))
 
 
 @query("forecast_v4_model")
@@ -91,8 +92,7 @@ def forecast_v4_model(t):
     from faultline.operators.stats import add_calendar
     from faultline.operators.weather import lookup_weather
     tr, _, se, fa = holdout(t)
-    hi = D.bounds(t)[1]
-    s = samples.direct_samples(tr).filter(F.col("Fecha") > F.lit(hi - dt.timedelta(days=150)))
+    s = samples.direct_samples(tr)
     s = lookup_weather(add_calendar(s), D.weather_table(t))
     feats = ["Dia_Semana", "Mes", "Horizonte", "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin",
              "Media_Movil_14d_origin", "es_festivo", "es_quincena", "semana_del_mes", "dia_del_mes",
@@ -109,7 +109,7 @@ def resolution_temporal_evaluation(t):
     and evaluated on them (D21-style totals)."""
     tk = D.tickets_clean(t)
     hi = tk.agg(F.max("Fecha_Creacion")).first()[0]
-    return models.temporal_evaluation(tk, hi - dt.timedelta(days=10), max_iter=20)
+    return models.temporal_evaluation(tk, hi - dt.timedelta(days=10), max_iter=118)
 
 
 @query("demand_v1_model")

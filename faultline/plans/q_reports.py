@@ -269,9 +269,12 @@ def sample_time_folds(t):
                                  F.max("Fecha").alias("Hasta"))
 
 
-@query("hashed_fold_sizes")
+@query("hashed_fold_sizes", W + S.TICKETS + """,
+lab AS (SELECT event_id, CAST(epoch_us(Fecha_Solucion - Fecha_Creacion) / 60e6 > 480 AS INTEGER) AS Target
+        FROM tk WHERE Fecha_Solucion IS NOT NULL)
+SELECT Target, CAST(('0x' || substr(md5(event_id || '|' || Target || '|42'), 1, 15))::BIGINT % 3 AS INTEGER) AS fold, count(*) AS Filas
+FROM lab GROUP BY ALL""")
 def hashed_fold_sizes(t):
-    """M5: seeded hash folds, stratified by the SLA label (rows-only: the hash is Spark's)."""
-    s = D.sla(t).withColumn("_id", F.monotonically_increasing_id())
-    return splits.hashed_folds(s, ["CENTRAL", "SUEPERVISOR", "Prioridad", "_id"], 3, label="Target") \
+    """M5: seeded hash folds by the event id, stratified by the SLA label."""
+    return splits.hashed_folds(D.sla_with_id(t), ["event_id"], 3, label="Target") \
         .groupBy("Target", "fold").agg(F.count(F.lit(1)).alias("Filas"))

@@ -6,10 +6,6 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows up to which a derived dimension is shipped whole to every executor.
-BROADCAST_MAX_ROWS = 200_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -19,7 +15,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         # local runs: the driver JVM is the only executor
         builder = (builder.master(master)
-                   .config("spark.driver.memory", os.environ.get("FAULTLINE_DRIVER_MEMORY", "16g"))
+                   .config("spark.driver.memory", os.environ.get("FAULTLINE_DRIVER_MEMORY", "10g"))
                    .config("spark.driver.maxResultSize", "4g"))
     builder = (builder
                .config("spark.ui.enabled", "false")
@@ -28,6 +24,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -44,6 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not conf_dir:
         conf_dir = os.path.join("/tmp", "faultline-ckpt-" + uuid.uuid4().hex[:8])
     sc.setCheckpointDir(conf_dir)
@@ -62,15 +61,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a derived dimension only after its row count is checked.
-
-    Beyond ``max_rows`` the frame is returned unchanged, so the join falls back
-    to a shuffle join (and AQE may still convert it at runtime).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

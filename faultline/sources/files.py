@@ -53,21 +53,32 @@ def read_tickets(spark: SparkSession, path: str, columns=None, all_columns: bool
     return df.select(*[F.col(f"`{c}`") for c in want if c in names])
 
 
-def read_tickets_tolerant(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """Like S1 but lines with *more* fields than the header are quarantined
-    (dropped); short lines are kept with NULLs, as a tolerant reader would."""
+def tolerant_parts(spark: SparkSession, path: str, columns=None) -> tuple:
+    """The tickets and the rejected records (their raw text, ``_corrupt``). Records with
+    *more* fields than the header are rejected; short ones are kept with NULLs. Quoted
+    separators and line breaks are part of their field."""
     opt = sniff_csv(spark, path)
     names = header_names(opt["header"], opt["sep"])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                           + [T.StructField("_corrupt", T.StringType())])
     df = (spark.read.schema(schema)
-          .options(header=True, sep=opt["sep"], encoding=opt["encoding"], quote='"', escape='"',
-                   mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+          .options(header=True, sep=opt["sep"], encoding=opt["encoding"], multiLine=True, quote='"', escape='"',
+                   mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True,
+                   columnPruning=False)  # with pruning a record's length is not looked at
           .csv(path))
-    fields = F.size(F.split(F.col("_corrupt"), "\\" + opt["sep"] if opt["sep"] in ".|" else opt["sep"]))
-    keep = F.col("_corrupt").isNull() | (fields <= len(names))
+    bare = F.regexp_replace("_corrupt", '"(?:[^"]|"")*"', "")
+    long = F.length(bare) - F.length(F.replace(bare, F.lit(opt["sep"]))) >= len(names)
+    # the check also reads a data column: a query of the corrupt column alone is refused
+    read = F.length(F.concat_ws("", F.col(f"`{names[0]}`"))) >= 0
+    rejected = F.col("_corrupt").isNotNull() & long & read
     want = list(columns or C.JIRA_COLUMNS_MAP)
-    return df.filter(keep).select(*[F.col(f"`{c}`") for c in want if c in names])
+    good = df.filter(~F.coalesce(rejected, F.lit(False))).select(*[F.col(f"`{c}`") for c in want if c in names])
+    return good, df.filter(rejected).select("_corrupt")
+
+
+def read_tickets_tolerant(spark: SparkSession, path: str, columns=None) -> DataFrame:
+    """The tickets of ``tolerant_parts``."""
+    return tolerant_parts(spark, path, columns)[0]
 
 
 def read_sla(spark: SparkSession, path: str) -> DataFrame:

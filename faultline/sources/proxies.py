@@ -75,11 +75,12 @@ def tickets_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def sla_raw(events: DataFrame) -> DataFrame:
+def sla_raw(events: DataFrame, with_id: bool = False) -> DataFrame:
     """SLA sheet: breach when resolution exceeds 480 minutes; open tickets unlabeled."""
     t = ticket_events(events)
     mins = minutes_between("Fecha_Creacion", "Fecha_Solucion")
     return t.select(
+        *(["event_id"] if with_id else []),
         "Prioridad",
         F.col("Nodo").alias("CENTRAL"),
         F.concat(F.lit("S"), (F.col("user_id") % N_SUPERVISORS).cast("string")).alias("SUEPERVISOR"),
