@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from faultline import config as C
 
-__all__ = ["translate_month_es", "fault_type", "node_label", "zone_label", "fold_accents",
+__all__ = ["translate_month_es", "month_found", "replace_month", "fault_type", "node_label", "zone_label", "fold_accents",
            "normalise_node", "short_label", "sanitize_name", "as_col"]
 
 
@@ -24,12 +24,21 @@ def translate_month_es(c) -> Column:
     The month is found by a chain of cheap ``instr`` tests (codegen-friendly) and
     a single ``replace`` is applied."""
     low = F.lower(as_col(c))
-    hit = None
+    return replace_month(low, month_found(low))
+
+
+def month_found(low) -> Column:
+    """The first Spanish month (in map order) in a lower-case text, else NULL."""
+    hit = F
     for es in C.MONTHS_ES_TO_EN:
-        cond = F.instr(low, es) > 0
-        hit = F.when(cond, F.lit(es)) if hit is None else hit.when(cond, F.lit(es))
+        hit = hit.when(F.instr(as_col(low), es) > 0, F.lit(es))
+    return hit
+
+
+def replace_month(low, hit) -> Column:
+    """``low`` with the month ``hit`` in English; unchanged where no month was found."""
     to_en = F.create_map(*[F.lit(x) for kv in C.MONTHS_ES_TO_EN.items() for x in kv])
-    return F.coalesce(F.replace(low, hit, F.try_element_at(to_en, hit)), low)
+    return F.coalesce(F.replace(as_col(low), as_col(hit), F.try_element_at(to_en, as_col(hit))), as_col(low))
 
 
 def fault_type(summary) -> Column:

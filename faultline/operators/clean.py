@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline import config as C
-from faultline.functions import (cyclic, fault_type, minutes_between, node_label,
-                                 parse_ticket_time, sla_target, to_double_or,
-                                 translate_month_es, weekday0)
+from faultline.functions import (cyclic, fault_type, minutes_between, month_found,
+                                 node_label, parse_ticket_time, replace_month,
+                                 sla_target, to_double_or, weekday0)
 
 TICKET_COLUMNS = ["Resumen", "Prioridad", "Fecha_Creacion", "Fecha_Solucion", "Nodo",
                   "Usuarios_Afectados", "Zona", "Minutos_Resolucion", "Tipo_Falla",
@@ -34,14 +34,18 @@ def _is_text(df: DataFrame, name: str) -> bool:
 
 
 def with_parsed_times(df: DataFrame, names) -> DataFrame:
-    """P3 + P4 on text columns (typed columns are only cast). The month translation
-    is materialised once per column so the format attempts share it."""
+    """P3 + P4 on text columns (typed columns are only cast). Each step is a column of its
+    own, so it is computed once; the parsed times leave through a one-row ``inline``, which
+    keeps filters and features on them from repeating the parse."""
     text = [n for n in names if _is_text(df, n)]
-    out = df.withColumns({f"_tx_{n}": translate_month_es(n) for n in text}) if text else df
-    out = out.withColumns({
-        n: (parse_ticket_time(f"_tx_{n}", translate=False) if n in text else F.col(n))
-        .cast("timestamp_ntz") for n in names})
-    return out.drop(*[f"_tx_{n}" for n in text])
+    if not text:
+        return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names})
+    out = df.withColumns({f"_low_{n}": F.lower(n) for n in text})
+    out = out.withColumns({f"_month_{n}": month_found(f"_low_{n}") for n in text})
+    out = out.withColumns({f"_text_{n}": replace_month(f"_low_{n}", f"_month_{n}") for n in text})
+    times = F.struct(*[(parse_ticket_time(f"_text_{n}", translate=False) if n in text else F.col(n))
+                       .cast("timestamp_ntz").alias(n) for n in names])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], F.inline(F.array(times)))
 
 
 def add_time_features(df: DataFrame, ts: str = "Fecha_Creacion") -> DataFrame:

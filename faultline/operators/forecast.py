@@ -24,15 +24,16 @@ V5_COLUMNS = ["Fecha", "Zona", "Nodo", "Prediccion_Tickets", "Pred_Q30", "Pred_Q
 def latest_origin(panel: DataFrame, min_history: int, y: str = "Tickets_Total",
                   keep_last: int = 14) -> DataFrame:
     """The last row of each series with >= min_history rows, its origin
-    features, and its last ``keep_last`` values (the iterative state)."""
+    features, and its last ``keep_last`` values (the iterative state). Only the last rows
+    of a series are ranked and windowed; its length is a plain count."""
+    rows = panel.select(*KEY, "Fecha", y)
+    length = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_history)
+    newest = Window.partitionBy(*KEY).orderBy(F.desc("Fecha"))
+    last = rows.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= max(keep_last, 14))
     w = Window.partitionBy(*KEY).orderBy("Fecha")
-    o = origin_features(panel.select(*KEY, "Fecha", y), y)
-    o = o.withColumns({
-        "_n": F.count(F.lit(1)).over(Window.partitionBy(*KEY)),
-        "_win": F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(-(keep_last - 1), 0)),
-        "_rn": F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("Fecha"))),
-    })
-    return (o.filter((F.col("_rn") == 1) & (F.col("_n") >= min_history))
+    o = origin_features(last, y).withColumn(
+        "_win", F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(-(keep_last - 1), 0)))
+    return (o.filter("_rn = 1").join(length.select(*KEY), KEY, "left_semi")
             .select(*KEY, F.col("Fecha").alias("origen"), "Lag_1_origin", "Lag_7_origin",
                     "Media_Movil_7d_origin", "Media_Movil_14d_origin", "_win"))
 

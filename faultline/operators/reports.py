@@ -21,14 +21,16 @@ def month_name(c) -> F.Column:
 
 
 def node_month_crosstab(tickets: DataFrame, date_col: str = "Fecha_Creacion",
-                        node_col: str = "Nodo") -> DataFrame:
+                        node_col: str = "Nodo", count_col: str | None = None) -> DataFrame:
     """Tickets per (trimmed node, named month); months pivoted in calendar order,
-    missing cells 0. Pivot values are given, so no extra job discovers them."""
+    missing cells 0. Pivot values are given, so no extra job discovers them. Rows are one
+    ticket each, or ``count_col`` tickets."""
+    n = F.lit(1) if count_col is None else F.col(count_col)
     t = (tickets.dropna(subset=[date_col, node_col])
-         .select(F.trim(F.col(node_col).cast("string")).alias("Nodo"), month_name(date_col).alias("Mes"))
+         .select(F.trim(F.col(node_col).cast("string")).alias("Nodo"), month_name(date_col).alias("Mes"), n.cast("long").alias("_n"))
          .filter(F.col("Mes").isNotNull()))
     names = list(C.MONTH_NAMES_ES.values())
-    return t.groupBy("Nodo").pivot("Mes", names).count().fillna(0, subset=names)
+    return t.groupBy("Nodo").pivot("Mes", names).agg(F.sum("_n")).fillna(0, subset=names)
 
 
 def run_rate_projection(crosstab: DataFrame, current: str = "Abril", full=("Febrero", "Marzo"),
@@ -90,16 +92,14 @@ def null_inventory(df: DataFrame) -> DataFrame:
 
 
 def distinct_audit(df: DataFrame, cols) -> DataFrame:
-    """Distinct-value count, min and max of candidate columns (no unbounded sets)."""
-    parts = []
-    for c in cols:
+    """Distinct-value count, min and max of candidate columns (no unbounded sets): one
+    aggregate over all columns, then unpivot. An empty table gives 0 and NULLs per column."""
+    measures = []
+    for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("string")
-        parts.append(df.agg(F.lit(c).alias("Columna"), F.count_distinct(x).alias("Distintos"),
-                            F.min(x).alias("Minimo"), F.max(x).alias("Maximo")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        measures += [F.count_distinct(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', n{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
+    return df.agg(*measures).selectExpr(f"stack({len(cols)}, {pairs}) AS (Columna, Distintos, Minimo, Maximo)")
 
 
 def zone_daily_totals(panel: DataFrame) -> DataFrame:

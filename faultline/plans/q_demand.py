@@ -48,9 +48,8 @@ def demand_panel(t):
 SELECT Fecha AS Dia_Calendario, count(*) AS Total_Tickets FROM lines GROUP BY Fecha""")
 def daily_totals(t):
     """Tickets per day, all zones."""
-    tk = proxies.demand_tickets(t.lineitem, t.supplier, t.nation, t.region)
-    return (tk.groupBy(F.to_date("Fecha_Creacion").alias("Dia_Calendario"))
-            .agg(F.count(F.lit(1)).alias("Total_Tickets")))
+    return (D.line_daily(t).groupBy(F.col("Fecha").alias("Dia_Calendario"))
+            .agg(F.sum("n").alias("Total_Tickets")))
 
 
 @query("zone_daily_rollup", PANEL + """

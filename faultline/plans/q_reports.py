@@ -12,7 +12,6 @@ from faultline.plans import derived as D
 from faultline.plans import sqlparts as S
 from faultline.plans.q_forecast import holdout
 from faultline.plans.registry import query
-from faultline.sources import proxies
 
 W = "WITH "
 MONTHS = list(C.MONTH_NAMES_ES.values())
@@ -27,12 +26,8 @@ proj2 AS (SELECT *, Febrero + Marzo + Proyeccion AS Total_Proyectado FROM proj),
 heat AS (SELECT * FROM proj2 WHERE Total_Proyectado > 20 ORDER BY Total_Proyectado DESC, Nodo LIMIT 15)"""
 
 
-def demand_tickets(t):
-    return proxies.demand_tickets(t.lineitem, t.supplier, t.nation, t.region)
-
-
 def crosstab(t):
-    return t.memo("crosstab", lambda: reports.node_month_crosstab(demand_tickets(t)))
+    return t.memo("crosstab", lambda: reports.node_month_crosstab(D.line_daily(t), "Fecha", count_col="n"))
 
 
 @query("node_month_crosstab", W + CROSSTAB + " SELECT * FROM ct")
@@ -68,8 +63,7 @@ daily AS (SELECT Fecha, count(*) AS Total_Tickets FROM lines GROUP BY Fecha)
 SELECT count(*) AS Dias, max(Total_Tickets) AS Pico, min(Total_Tickets) AS Valle, avg(Total_Tickets) AS Media FROM daily""")
 def demand_audit(t):
     """D13 (demand): days, peak, valley, mean of daily totals."""
-    daily = demand_tickets(t).groupBy(F.to_date("Fecha_Creacion").alias("Fecha")).agg(
-        F.count(F.lit(1)).alias("Total_Tickets"))
+    daily = D.line_daily(t).groupBy("Fecha").agg(F.sum("n").alias("Total_Tickets"))
     return reports.demand_audit(daily)
 
 
