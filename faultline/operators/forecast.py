@@ -186,9 +186,14 @@ def forecast_v1_recursive(panel: DataFrame, days: int, y: str = "Tickets_Total")
     return res.select(*KEY, F.inline("_o")).select(*FORECAST_COLUMNS)
 
 
-def model_predictor(model, out: str = "_p"):
+def model_predictor(model, out: str = "_p", te: DataFrame | None = None):
     """Adapter: a fitted quantile model (``operators.quantile``) as the base predictor
-    of the direct forecasts; origin features are exposed under the model's names."""
+    of the direct forecasts. Origin features are there under their V4 names and, without
+    ``_origin``, under the V5 ones; ``te`` adds the series' target encodings (0 where a
+    series has none)."""
     def run(grid: DataFrame) -> DataFrame:
-        return model.predict(grid, out)
+        if te is not None:
+            grid = grid.join(te, KEY, "left").fillna(0.0, subset=["nodo_target_mean", "nodo_target_std"])
+        origin = [c for c in grid.columns if c.endswith("_origin")]
+        return model.predict(grid.withColumns({c.removesuffix("_origin"): F.col(c) for c in origin}), out)
     return run

@@ -170,11 +170,11 @@ def peak_days(panel: DataFrame, start, threshold: int = C.PEAK_DAY_THRESHOLD) ->
 
 def sample_rows(df: DataFrame, key_cols, n: int = 2, seed: int = 42, width: int = 150) -> DataFrame:
     """K6: n rows picked by a seeded hash, shown as (row, column, value) for the
-    non-empty cells only, values cut to ``width`` characters."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in key_cols], F.lit(seed))
+    non-empty cells only, values cut to ``width`` characters; ``key_cols`` name a row."""
+    h = F.md5(F.concat_ws("|", *[F.col(f"`{c}`").cast("string") for c in key_cols], F.lit(str(seed))))
     pick = df.withColumn("_h", h).orderBy("_h").limit(n).withColumn(
         "Muestra", F.row_number().over(Window.orderBy("_h"))).drop("_h")
-    cols = [c for c in pick.columns if c != "Muestra"]
+    cols = [c for c in pick.columns if c not in ("Muestra", *key_cols)]
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', CAST(`{c}` AS STRING)" for c in cols)
     long = pick.selectExpr("Muestra", f"stack({len(cols)}, {pairs}) AS (Campo, Valor)")
     v = F.col("Valor")
@@ -184,10 +184,10 @@ def sample_rows(df: DataFrame, key_cols, n: int = 2, seed: int = 42, width: int
 
 
 def dataset_probe(df: DataFrame, order_col: str) -> DataFrame:
-    """K7: row and column counts and the first record (by ``order_col``), as rows."""
+    """K7: row and column counts and the first record (by ``order_col``, itself not shown), as rows."""
     n = df.count()
     first = df.orderBy(order_col).limit(1)
-    cols = df.columns
+    cols = [c for c in df.columns if c != order_col]
     pairs = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', CAST(`{c}` AS STRING)" for c in cols)
     rec = first.selectExpr(f"stack({len(cols)}, {pairs}) AS (Campo, Valor)")
     head = df.sparkSession.createDataFrame([("filas", str(n)), ("columnas", str(len(cols)))],

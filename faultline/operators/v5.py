@@ -1,7 +1,7 @@
 """V5 with real quantile models (M11 training, M12/M13 iterative scoring, M14 direct).
 
 Segments are pooled: one quantile model per alpha over all series, with the series'
-smoothed target mean/std (D7) and the zone index as inputs, instead of one model per
+smoothed target mean/std (D7) as inputs, instead of one model per
 zone or node. The number of fits is then 3, whatever the number of segments.
 """
 from __future__ import annotations

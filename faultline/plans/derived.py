@@ -21,6 +21,10 @@ def tickets_raw(t) -> DataFrame:
     return t.memo("tickets_raw", lambda: proxies.tickets_raw(t.events))
 
 
+def tickets_raw_with_id(t) -> DataFrame:
+    return t.memo("tickets_raw_with_id", lambda: proxies.tickets_raw(t.events, with_id=True))
+
+
 def tickets_from_raw(t) -> DataFrame:
     return t.memo("tickets_from_raw", lambda: clean.clean_tickets(tickets_raw(t)))
 
@@ -29,6 +33,11 @@ def sla(t) -> DataFrame:
     return t.memo("sla", lambda: clean.clean_sla(proxies.sla_raw(t.events)))
 
 
+def sla_open(t) -> DataFrame:
+    """The SLA rows without a label yet: the tickets still open."""
+    return t.memo("sla_open", lambda: proxies.sla_raw(t.events).where("`CUMPLE/NO CUMPLE` IS NULL"))
+
+
 def sla_with_id(t) -> DataFrame:
     return t.memo("sla_with_id", lambda: clean.clean_sla(proxies.sla_raw(t.events, with_id=True), keep=["event_id"]))
 

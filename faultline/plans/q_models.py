@@ -37,9 +37,9 @@ def sla_classifier_report(t):
 
 @query("ticket_risk_scores")
 def ticket_risk_scores(t):
-    """Score every SLA row with the trained classifier (probability %, tier)."""
+    """Score the open tickets, which the classifier has not seen (probability %, tier)."""
     model, _ = models.train_sla_classifier(D.sla_with_id(t), trials=1, folds=2, max_iter=10)
-    return models.score_tickets(model, D.sla(t).select("Prioridad", "CENTRAL", "SUEPERVISOR"))
+    return models.score_tickets(model, D.sla_open(t).select("Prioridad", "CENTRAL", "SUEPERVISOR"))
 
 
 @query("resolution_regressor_metrics")

@@ -192,16 +192,35 @@ def sla_risk_tiers(t):
     return reports.sla_risk_scores(D.sla(t))
 
 
-@query("ticket_sample")
+RAW_BY_ID = S.TICKETS + f""",
+raw AS (SELECT event_id, Resumen, Prioridad, {S.sql_jira_text('Fecha_Creacion')} AS Fecha_Creacion,
+  {S.sql_jira_text('Fecha_Solucion')} AS Fecha_Solucion, Nodo, Usuarios_Afectados, Zona FROM tk)"""
+
+
+def cells(src: str, extra: str = "") -> str:
+    """SQL: one row (Campo, Valor) per cell of ``src``."""
+    return " UNION ALL ".join(f"SELECT {extra}'{raw}' AS Campo, CAST({name} AS VARCHAR) AS Valor FROM {src}"
+                              for raw, name in C.JIRA_COLUMNS_MAP.items())
+
+
+@query("ticket_sample", W + RAW_BY_ID + """,
+pick AS (SELECT *, CAST(row_number() OVER (ORDER BY h) AS INTEGER) AS Muestra
+         FROM (SELECT *, md5(event_id || '|42') AS h FROM raw ORDER BY h LIMIT 2) a),
+c AS (""" + cells("pick", "Muestra, ") + """)
+SELECT Muestra, Campo, CASE WHEN length(Valor) > 150 THEN substr(Valor, 1, 150) || '...' ELSE Valor END AS Valor
+FROM c WHERE Valor IS NOT NULL AND trim(Valor) <> '' AND lower(Valor) <> 'nan'""")
 def ticket_sample(t):
-    """K6: two hash-picked raw tickets, non-empty cells only (rows-only check)."""
-    return reports.sample_rows(D.tickets_raw(t), ["Creada", "Resumen"])
+    """K6: two hash-picked raw tickets, non-empty cells only."""
+    return reports.sample_rows(D.tickets_raw_with_id(t), ["event_id"])
 
 
-@query("dataset_probe")
+@query("dataset_probe", W + RAW_BY_ID + f""",
+f AS (SELECT * FROM raw ORDER BY event_id LIMIT 1)
+SELECT 'filas' AS Campo, CAST(count(*) AS VARCHAR) AS Valor FROM raw UNION ALL SELECT 'columnas', '{len(C.JIRA_COLUMNS_MAP)}'
+UNION ALL """ + cells("f"))
 def dataset_probe(t):
-    """K7: row/column counts and the first ticket (rows-only check)."""
-    return reports.dataset_probe(D.tickets_raw(t), "Creada")
+    """K7: row/column counts and the first ticket, by its id."""
+    return reports.dataset_probe(D.tickets_raw_with_id(t), "event_id")
 
 
 ZD = W + S.PANEL + """,

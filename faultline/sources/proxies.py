@@ -60,11 +60,12 @@ def ticket_events(events: DataFrame) -> DataFrame:
     )
 
 
-def tickets_raw(events: DataFrame) -> DataFrame:
+def tickets_raw(events: DataFrame, with_id: bool = False) -> DataFrame:
     """All-string export with the source header names; times as Spanish export text."""
     t = ticket_events(events)
     inv = {v: k for k, v in C.JIRA_COLUMNS_MAP.items()}
     return t.select(
+        *(["event_id"] if with_id else []),
         F.col("Resumen").alias(inv["Resumen"]),
         F.col("Prioridad").alias(inv["Prioridad"]),
         spanish_jira_text("Fecha_Creacion").alias(inv["Fecha_Creacion"]),

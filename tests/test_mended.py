@@ -38,3 +38,33 @@ def test_one_week_is_dropped_once(spark):
     zd = spark.createDataFrame([("Z", day + dt.timedelta(days=i), i % 5) for i in range(27)], "Zona string, Fecha date, Tickets_Total long")
     parts = splits.chrono_split(scaled_windows(zd), window=0, min_rows=8).groupBy("Particion").count().collect()
     assert {r[0]: r[1] for r in parts} == {"train": 17, "test": 3}
+
+
+def test_v5_direct_takes_a_trained_model(spark):
+    """A model over the V5 names serves the direct forecast; a flat series is forecast at its level."""
+    import datetime as dt
+    from faultline.operators import demand, forecast, stats, v5
+    from faultline.operators.quantile import QuantileGBM
+    day = dt.date(2026, 1, 1)
+    counts = spark.createDataFrame([(day + dt.timedelta(days=i), "Z", n, k) for i in range(60) for n, k in (("A", 3), ("B", 8))],
+                                   "Fecha date, Zona string, Nodo string, Tickets_Total long")
+    panel = demand.demand_panel(counts)
+    te = stats.target_encoding(panel)
+    frame = v5.training_frame(panel, None, te)
+    features = [c for c in v5.V5_FEATURES if c not in v5.WEATHER_FEATURES]
+    model = QuantileGBM(alpha=0.5, features=features, rounds=8, depth=2, rate=0.7).fit(frame, "Tickets_Total")
+    got = forecast.forecast_v5_direct(panel, stats.seasonal_means(panel), stats.dow_factors(panel), 7,
+                                      predictor=forecast.model_predictor(model, "_p50", te)).collect()
+    assert len(got) == 14 and {(r.Nodo, r.Prediccion_Tickets) for r in got} == {("A", 3), ("B", 8)}
+
+
+def test_parsed_times_do_not_repeat_and_empty_audit(spark):
+    """Filters on parsed times don't repeat the parse; the audit of an empty table gives zeros."""
+    from faultline.operators import clean, reports
+    raw = spark.createDataFrame([("12/may/26 3:45 PM", "2026-05-12 16:45"), ("junk", None)], "a string, b string")
+    out = clean.with_parsed_times(raw, ["a", "b"]).where("a < b").selectExpr("a", "b", "hour(a) AS h")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp") <= 10
+    assert [r.h for r in out.collect()] == [15]
+    rows = reports.distinct_audit(raw.limit(0), ["a", "b"]).collect()
+    assert [(r.Columna, r.Distintos, r.Minimo) for r in rows] == [("a", 0, None), ("b", 0, None)]
