@@ -291,3 +291,23 @@ def test_pipeline_stages(spark):
         docs, n = after, after.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, out)
     assert packed.select("doc_id").distinct().count() == n
+
+
+def test_pipeline_stages_on_awkward_rows(spark, docs, rows, empty):
+    import corpus_pipeline
+    out = "/root/testdata/sf0.001"
+    good = [f"{prose(900 + i, 120)}\n{prose(950 + i, 60)}" for i in range(3)]
+    extra = spark.createDataFrame([(900, good[0], "en", None, 1, None, None, None), (901, good[0], "en", None, 1, None, None, None),
+                                   (None, good[1], None, "web", None, None, None, None), (902, good[2], None, None, None, 5, 6, "x")], docs.schema)
+    every = docs.unionByName(extra)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = corpus_pipeline.written(stage(spark, every, out), name)
+        assert after.columns == every.columns
+        assert stage(spark, empty, out).count() == 0
+        every = after
+    kept = every.select("doc_id", "text").collect()
+    assert {900, 902, None} <= {r.doc_id for r in kept} and 901 not in {r.doc_id for r in kept}
+    assert all(r.text for r in kept)
+    stage = corpus_pipeline.STAGES[-1][1]
+    assert stage(spark, empty, out).count() == 0
+    assert stage(spark, every, out).where("piece = 0").count() == len(kept)
