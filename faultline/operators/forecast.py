@@ -74,29 +74,40 @@ def blend(p, factor, seasonal, damping: float, w: float = C.ENSEMBLE_XGB_W):
     return F.lit(w) * adj + F.lit(1.0 - w) * seas
 
 
+def mark_served(grid: DataFrame, served: DataFrame | None) -> DataFrame:
+    """Column ``_served``: whether a model serves the series (``served``: the (Zona, Nodo)
+    with one, None for all)."""
+    if served is None:
+        return grid.withColumn("_served", F.lit(True))
+    own = served.select(*KEY, F.lit(True).alias("_served"))
+    return grid.join(own, KEY, "left").fillna(False, subset=["_served"])
+
+
 def forecast_direct(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days: int,
                     predictor=trailing_mean_predictor, min_history: int = C.V4_MIN_HISTORY,
                     damping: float = C.V4_DOW_DAMPING, weather: DataFrame | None = None,
-                    pred_col: str = "_p") -> DataFrame:
-    """M10 (V4) / M14 (V5 direct, with min_history=14, damping=0.35, pred_col='_p50')."""
+                    pred_col: str = "_p", served: DataFrame | None = None) -> DataFrame:
+    """M10 (V4) / M14 (V5 direct, with min_history=14, damping=0.35, pred_col='_p50').
+    Series outside ``served`` take their seasonal mean (0 without one) as the prediction."""
     grid = future_grid(latest_origin(panel, min_history), days)
     if weather is not None:
         from faultline.operators.weather import lookup_weather
         grid = lookup_weather(grid, weather)
-    g = predictor(attach_stats(grid, seasonal, factors))
-    final = blend(F.col(pred_col), F.col("dow_factor"), F.col("seasonal"), damping)
+    g = mark_served(predictor(attach_stats(grid, seasonal, factors)), served)
+    p = F.when(F.col("_served"), F.col(pred_col)).otherwise(F.coalesce("seasonal", F.lit(0.0)))
+    final = blend(p, F.col("dow_factor"), F.col("seasonal"), damping)
     return g.select("Fecha", *KEY, nonneg_round(final).alias("Prediccion_Tickets"))
 
 
-def forecast_v4(panel, seasonal, factors, days, predictor=trailing_mean_predictor, weather=None):
+def forecast_v4(panel, seasonal, factors, days, predictor=trailing_mean_predictor, weather=None, served=None):
     return forecast_direct(panel, seasonal, factors, days, predictor, C.V4_MIN_HISTORY,
-                           C.V4_DOW_DAMPING, weather, "_p")
+                           C.V4_DOW_DAMPING, weather, "_p", served)
 
 
 def forecast_v5_direct(panel, seasonal, factors, days, predictor=trailing_band_predictor,
-                       weather=None):
+                       weather=None, served=None):
     return forecast_direct(panel, seasonal, factors, days, predictor, C.V5_MIN_HISTORY,
-                           C.V5_DOW_DAMPING, weather, "_p50")
+                           C.V5_DOW_DAMPING, weather, "_p50", served)
 
 
 def v5_blend_weights(risky):
@@ -117,9 +128,10 @@ def _steps(grid: DataFrame, fields) -> DataFrame:
 
 def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days: int,
                           weather: DataFrame | None = None,
-                          damping: float = C.V5_DOW_DAMPING) -> DataFrame:
+                          damping: float = C.V5_DOW_DAMPING, served: DataFrame | None = None) -> DataFrame:
     """M12 + M13 with the stand-in quantile predictor: each day's rounded forecast
-    feeds the next day's lags and means.
+    feeds the next day's lags and means. Series outside ``served`` get their seasonal mean
+    (0 without one) as forecast and quantiles, which feeds on unrounded.
 
     Sequential in days, parallel in series: the whole recursion runs inside one
     ``aggregate`` over each series' step array, whose state is the last 14 values
@@ -131,12 +143,12 @@ def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFr
         grid = lookup_weather(grid, weather)
     else:
         grid = grid.withColumn("es_lluvia_fuerte", F.lit(0))
-    grid = attach_stats(grid, seasonal, factors)
+    grid = mark_served(attach_stats(grid, seasonal, factors), served)
     risky = ((F.col("es_lluvia_fuerte") == 1) | (F.col("es_quincena") == 1)
              | (F.col("es_lunes") == 1))
     steps = _steps(grid, [F.col("Horizonte").alias("h"), F.col("Fecha").alias("f"),
                           F.col("dow_factor").alias("k"), F.col("seasonal").alias("s"),
-                          risky.alias("r")])
+                          risky.alias("r"), F.col("_served").alias("m")])
     state0 = origin.select(*KEY, "_win").join(steps, KEY)
     out_t = "array<struct<Fecha:date,Prediccion_Tickets:bigint,Pred_Q30:bigint,Pred_Q50:bigint,Pred_Q70:bigint>>"
 
@@ -149,10 +161,12 @@ def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFr
         xgb = a * p30 + b * p50 + c * p70
         final = blend(xgb, s["k"], s["s"], damping)
         fr = F.greatest(F.lit(0.0), F.bround(final, 0))
-        row = F.struct(s["f"].alias("Fecha"), fr.cast("long").alias("Prediccion_Tickets"),
-                       nonneg_round(p30).alias("Pred_Q30"), nonneg_round(p50).alias("Pred_Q50"),
-                       nonneg_round(p70).alias("Pred_Q70"))
-        return F.struct(F.slice(F.concat(w, F.array(fr)), -14, 14).alias("win"),
+        seas = F.coalesce(s["s"], F.lit(0.0))
+        own = lambda x: F.when(s["m"], x).otherwise(seas)
+        row = F.struct(s["f"].alias("Fecha"), nonneg_round(own(fr)).alias("Prediccion_Tickets"),
+                       nonneg_round(own(p30)).alias("Pred_Q30"), nonneg_round(own(p50)).alias("Pred_Q50"),
+                       nonneg_round(own(p70)).alias("Pred_Q70"))
+        return F.struct(F.slice(F.concat(w, F.array(own(fr))), -14, 14).alias("win"),
                         F.concat(acc["out"], F.array(row)).alias("out"))
 
     init = F.struct(F.col("_win").alias("win"), F.array().cast(out_t).alias("out"))

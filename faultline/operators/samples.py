@@ -47,3 +47,18 @@ def direct_samples(df: DataFrame, y: str = "Tickets_Total", max_h: int = C.MAX_H
         F.weekday("_t.f").alias("Dia_Semana"), F.month("_t.f").alias("Mes"),
         (F.col("_t.i") - F.col("_idx")).cast("int").alias("Horizonte"),
         "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin", "Media_Movil_14d_origin")
+
+
+def served_series(panel: DataFrame, node_zone: str = C.CENTRO, least: int = C.MIN_SEGMENT_SAMPLES,
+                  max_h: int = C.MAX_HORIZON, min_target: int = C.SAMPLE_MIN_TARGET_IDX,
+                  min_origin: int = C.SAMPLE_MIN_ORIGIN_IDX) -> DataFrame:
+    """The (Zona, Nodo) whose segment has a model. A segment is a zone, or in ``node_zone`` a
+    single node, which needs ``least`` direct samples. The number of samples follows from the
+    length of a series, so no sample is made to count them."""
+    length = panel.groupBy(*KEY).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    targets = F.when(F.col("_n") > min_target, F.sequence(F.lit(min_target), F.col("_n") - 1))
+    made = F.aggregate(targets, F.lit(0).cast("long"), lambda total, t: total + F.least(F.lit(max_h), t - min_origin))
+    own = length.withColumn("_samples", F.coalesce(made, F.lit(0).cast("long")))
+    zone = Window.partitionBy("Zona")
+    enough = F.when(F.col("Zona") == node_zone, F.col("_samples") >= least).otherwise(F.sum("_samples").over(zone) > 0)
+    return own.withColumn("_ok", enough).filter("_ok").select(*KEY)

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from faultline.functions import demand_alert
-from faultline.operators import forecast, metrics, splits, stats
+from faultline.operators import forecast, metrics, samples, splits, stats
 from faultline.plans import derived as D
 from faultline.plans import sql_forecast as X
 from faultline.plans import sqlparts as S
@@ -74,6 +74,29 @@ def forecast_v5_iterative(t):
     return fc_v5i(t)
 
 
+#: the zone whose nodes are segments of their own in the fallback queries; none of them has
+#: so many samples, so each falls back
+NODE_ZONE, TOO_MANY = "ASIA", 10**9
+V4F_SQL = V4_SQL.replace(X.direct_fc("v4", KEYS, 0.4), X.direct_fc(
+    "v4", KEYS, 0.4, base=f"(CASE WHEN Zona = '{NODE_ZONE}' THEN coalesce(sea, 0.0) ELSE ma7 END)"))
+V5F_SQL = V5I_SQL.replace(X.iter_fc("v5i", KEYS), X.iter_fc("v5i", KEYS, unserved=f"Zona = '{NODE_ZONE}'"))
+
+
+@query("forecast_v4_fallback", BASE + V4F_SQL + " SELECT * FROM v4fc")
+def forecast_v4_fallback(t):
+    """Segments without a model (every node of one zone) take their seasonal mean."""
+    tr, _, se, fa = holdout(t)
+    return forecast.forecast_v4(tr, se, fa, DAYS, served=samples.served_series(tr, NODE_ZONE, TOO_MANY))
+
+
+@query("forecast_v5_fallback", BASE_WX + STATS + V5F_SQL + " SELECT * FROM v5ifc")
+def forecast_v5_fallback(t):
+    """M12 + M13: the same segments in the iterative forecast."""
+    tr, _, se, fa = holdout(t)
+    return forecast.forecast_v5_iterative(tr, se, fa, DAYS, weather=D.weather_table(t),
+                                          served=samples.served_series(tr, NODE_ZONE, TOO_MANY))
+
+
 @query("forecast_v1_recursive", BASE + "," + X.v1_fc("v1", "train", KEYS, DAYS) + " SELECT * FROM v1fc")
 def forecast_v1_recursive(t):
     """v1 recursive forecast from the global last date."""

@@ -52,20 +52,22 @@ def grid_ctes(p: str, keys, days: int, weather: bool = False, sp: str = "") -> s
   LEFT JOIN {sp}fac f ON {on('f', 'g', keys)} AND f.dow = CAST(isodow(g.F) - 1 AS INTEGER){wx})"""
 
 
-def direct_fc(p: str, keys, damping: float, label: str | None = None) -> str:
+def direct_fc(p: str, keys, damping: float, label: str | None = None, base: str = "ma7") -> str:
     ks = ", ".join(keys)
     lab = f"'{label}' AS Modelo, " if label else ""
     return f"""
 {p}fc AS (SELECT {lab}F AS Fecha, {ks},
     CAST(greatest(0.0, round_even(0.6 * adj + 0.4 * coalesce(sea, adj), 0)) AS BIGINT) AS Prediccion_Tickets
-  FROM (SELECT *, ma7 * (1.0 + {damping} * (k - 1.0)) AS adj FROM {p}g2) x)"""
+  FROM (SELECT *, {base} * (1.0 + {damping} * (k - 1.0)) AS adj FROM {p}g2) x)"""
 
 
-def iter_fc(p: str, keys, label: str | None = None) -> str:
+def iter_fc(p: str, keys, label: str | None = None, unserved: str = "false") -> str:
     ks = ", ".join(keys)
     kx = ", ".join(f"x.{k}" for k in keys)
     kr = ", ".join(f"r.{k}" for k in keys)
     lab = f"'{label}' AS Modelo, " if label else ""
+    own = lambda x, seas: f"CASE WHEN {unserved} THEN {seas} ELSE {x} END"
+    sea = "CAST(greatest(0.0, round_even(coalesce(sea, 0.0), 0)) AS BIGINT)"
     rw, nw = C.V5_WEIGHTS_RISKY, C.V5_WEIGHTS_NORMAL
     return f"""
 {p}rec AS (
@@ -73,7 +75,8 @@ def iter_fc(p: str, keys, label: str | None = None) -> str:
          CAST(NULL AS BIGINT) AS q30, CAST(NULL AS BIGINT) AS q50, CAST(NULL AS BIGINT) AS q70
   FROM {p}origin
   UNION ALL
-  SELECT {ks}, h, list_slice(list_append(win, fr), -14, -1), Fecha, CAST(fr AS BIGINT), q30, q50, q70
+  SELECT {ks}, h, list_slice(list_append(win, {own("fr", "coalesce(sea, 0.0)")}), -14, -1), Fecha,
+    {own("CAST(fr AS BIGINT)", sea)}, {own("q30", sea)}, {own("q50", sea)}, {own("q70", sea)}
   FROM (SELECT y.*, greatest(0.0, round_even(0.6 * adj + 0.4 * coalesce(sea, adj), 0)) AS fr
     FROM (SELECT {kx}, x.h, x.win, x.Fecha, x.sea,
         ((CASE WHEN x.r THEN {rw[0]} ELSE {nw[0]} END) * least(m7, m14)

@@ -68,3 +68,15 @@ def test_parsed_times_do_not_repeat_and_empty_audit(spark):
     assert [r.h for r in out.collect()] == [15]
     rows = reports.distinct_audit(raw.limit(0), ["a", "b"]).collect()
     assert [(r.Columna, r.Distintos, r.Minimo) for r in rows] == [("a", 0, None), ("b", 0, None)]
+
+
+def test_served_series_count_their_samples(spark):
+    from faultline.operators import samples
+    day = dt.date(2026, 1, 1)
+    lengths = {("C", "a"): 12, ("C", "b"): 17, ("C", "c"): 18, ("C", "d"): 60, ("Z", "e"): 10, ("Z", "f"): 20, ("Y", "g"): 10}
+    panel = spark.createDataFrame([(day + dt.timedelta(days=i), z, n, i) for (z, n), k in lengths.items() for i in range(k)],
+                                  "Fecha date, Zona string, Nodo string, Tickets_Total long")
+    made = {r.Nodo: r["count"] for r in samples.direct_samples(panel).groupBy("Nodo").count().collect()}
+    served = {r.Nodo for r in samples.served_series(panel, "C", 30).collect()}
+    assert served == {n for (z, n) in lengths if (made.get(n, 0) >= 30 if z == "C" else z == "Z")}
+    assert "d" in served and "a" not in served
