@@ -12,12 +12,22 @@ word are never removed; rows of one doc_id count as one document, each keeping i
 occurrence; rows with a null doc_id are left as they are; chunks whose hashes are equal but whose bytes
 differ stay all; a text whose every chunk goes becomes empty; an empty table gives no rows;
 all other columns are kept, whatever their names.
+
+Chunk boundaries depend on three lines, so most short repeated passages between other lines are in no chunk of
+their own and stay (the README has the recall). ``dedup_runs`` removes all of them: it compares every two
+neighbouring lines with a word instead of chunks. A line goes if it stands in such a pair that occurs earlier
+(smaller doc_id, there the first place; a pair that overlaps its own first place stays), so every maximal run of
+two or more repeated lines goes whole and the first occurrence of each line stays. Lines without a word between
+the two go with them. Rows of one doc_id are ordered by their texts' hashes, equal rows are treated alike; the
+other cases are as above.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultline.llm.common import written
+
 WINDOW = 3
 DIVISOR = 4
 MIN_LINES = 2
@@ -87,6 +97,62 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                          F.when(cut & F.col("text").isNotNull(), lost).otherwise(F.lit(0)).cast("long").alias("__n_removed"))
 
 
+_WORDED = r"[^\x20\x09-\x0D]"
+_KEY = ["doc_id", "row_hash"]
+
+
+def _line_pairs(text):
+    """A column expression: array<struct<a, b, hash>> of a text's neighbouring worded lines: their numbers and the pair's hash."""
+    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+
+    def pair(w):
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.struct(
+            a["i"].alias("a"), b["i"].alias("b"), F.xxhash64(a["x"], b["x"]).alias("hash")))
+
+    return F.flatten(F.transform(F.array(F.filter(numbered, lambda p: p["x"].rlike(_WORDED))), pair))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_hash"), "text")
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, a, b, hash, first_doc of every occurrence of the pairs of lines that occur more than once."""
+    thin = _keyed(docs).select(*_KEY, F.explode(_line_pairs(F.col("text"))).alias("p")).select(*_KEY, "p.*")
+    repeated = thin.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1").select("hash", "first_doc")
+    return thin.join(repeated, "hash").select(*_KEY, "a", "b", "hash", "first_doc")
+
+
+def run_removals(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, gone (numbers of the lines to remove) of rows that lose some."""
+    pairs = written(repeated_pairs(docs), "line-pairs")
+    first = pairs.where("doc_id = first_doc").groupBy("doc_id", "hash").agg(F.min(F.struct("row_hash", "a", "b")).alias("first"))
+    later = F.col("first").isNull() | (F.col("row_hash") != F.col("first.row_hash")) | (F.col("a") > F.col("first.b"))
+    again = pairs.join(first, ["doc_id", "hash"], "left").where(later).select(*_KEY, "a", "b", "hash")
+    # the bytes: all occurrences of a hash must be the same two lines
+    held = pairs.groupBy(*_KEY).agg(F.collect_set(F.struct("a", "b", "hash")).alias("pairs"))
+    both = _keyed(docs).join(held, _KEY).select(F.explode(F.flatten(F.transform(F.array(F.struct(F.split("text", "\n").alias("lines"), "pairs")), lambda s: F.transform(
+        s["pairs"], lambda p: F.struct(p["hash"].alias("hash"), s["lines"][p["a"]].alias("x"), s["lines"][p["b"]].alias("y")))))).alias("p"))
+    unlike = both.select("p.*").groupBy("hash", "x", "y").agg(F.lit(1).alias("one")).groupBy("hash").count().where("count > 1").select("hash")
+    unlike = written(unlike, "unlike")
+    if not unlike.isEmpty():
+        again = again.join(unlike, "hash", "left_anti")
+    return again.groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone"))
+
+
+def dedup_runs(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` (doc_id, text, ...) with the text that stays, and __n_removed, the lines removed."""
+    gone = run_removals(docs).select(F.col("doc_id").alias("__gone_doc"), F.col("row_hash").alias("__gone_row"), F.col("gone").alias("__gone"))
+    joined = docs.join(gone, (F.col("doc_id").cast("long") == F.col("__gone_doc")) & (F.xxhash64("text") == F.col("__gone_row")), "left")
+    both = F.array(F.struct(F.split("text", "\n").alias("lines"), F.col("__gone").alias("gone")))
+    kept = F.array_join(F.flatten(F.transform(both, lambda s: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(s["lines"]) - 1), s["gone"]), lambda i: s["lines"][i]))), "\n")
+    cut = F.col("__gone").isNotNull()
+    return joined.select(*[F.when(cut, kept).otherwise(F.col("text")).alias("text") if c == "text" else docs[c] for c in docs.columns],
+                         F.when(cut, F.size("__gone")).otherwise(F.lit(0)).cast("long").alias("__n_removed"))
+
+
 #: DuckDB, over a table or view ``documents``: doc_id, n_removed lines and the text that stays
 SQL = f"""
 WITH lines AS (

@@ -212,6 +212,47 @@ def test_line_chunks(docs, rows, empty):
     assert cut.columns == docs.columns + ["__n_removed"] and lines.dedup_lines(empty).count() == 0
 
 
+def runs_left(table):
+    """doc_id -> the lines that stay, from the definition."""
+    first, out = {}, {}
+    for d, text in sorted(table):
+        ls = text.split("\n")
+        worded = [i for i, x in enumerate(ls) if WORD.search(x)]
+        gone = set()
+        for a, b in zip(worded, worded[1:]):
+            at = first.setdefault((ls[a], ls[b]), (d, b))
+            if at[0] < d or a > at[1]:
+                gone.update(range(a, b + 1))
+        out[d] = (len(gone), "\n".join(x for i, x in enumerate(ls) if i not in gone))
+    return out
+
+
+def test_line_runs(spark, docs, rows, empty):
+    """Passages of 2 to 6 lines planted between foreign lines: every repetition goes, whatever its neighbours."""
+    rng = np.random.default_rng(5)
+    passages = [[prose(3000 + 10 * p + i, 6) for i in range(2 + p % 5)] for p in range(60)]
+    table, planted = [], 0
+    for d in range(200):
+        own = [prose(5000 + 10 * d + i, 6) for i in range(6)]
+        p = passages[int(rng.integers(60))] if d >= 60 else passages[d]
+        at = int(rng.integers(1, 6))
+        planted += len(p) if d >= 60 else 0
+        table.append((1000 + d, "\n".join(own[:at] + p + own[at:])))
+    table += [(2000, "q w\n\ne r\nq w\ne r"), (2001, "q w\ne r\n \nnew"), (2002, "q w\nq w\nq w"), (2003, "t\nt\nt\nt\nt")]
+    every = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r["__n_removed"], r.text) for r in lines.dedup_runs(every).collect()}
+    want = runs_left(table)
+    assert got == want
+    assert sum(n for d, (n, _) in got.items() if d < 2000) == planted
+    chunked = sum(r["__n_removed"] for r in lines.dedup_lines(every).where("doc_id < 2000").collect())
+    print(f"planted {planted} lines: runs {planted}, chunks {chunked}")
+    assert chunked < planted
+    cut = lines.dedup_runs(docs)
+    assert cut.columns == docs.columns + ["__n_removed"] and lines.dedup_runs(empty).count() == 0
+    own = {(r.doc_id, r.text) for r in cut.collect()}
+    assert (3, None) in own and cut.count() == len(rows)
+
+
 def test_ring(docs, rows, empty, spark):
     got = ring.assign(docs).collect()
     sizes = Counter(r.shard for r in got)
