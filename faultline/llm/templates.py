@@ -6,7 +6,7 @@ Windows of ``WINDOW`` template words of the documents are hash-joined with those
 benchmark. Aligned windows must agree on their slots: within one alignment a benchmark
 value may stand for one document value only, so "Tom has 5" matches "Ann has 7" only if
 Tom is Ann and 5 is 7 throughout. A second view without names finds passages whose case
-was changed. A document holds an item if consistent windows cover at least ``COVER`` percent of
+was changed, a third one takes capitalised words that open a sentence as names too. A document holds an item if consistent windows cover at least ``COVER`` percent of
 the item's windows.
 
 Only windows that pass a bit map of the benchmark's window hashes (a fixed number of bits)
@@ -65,7 +65,7 @@ class _Tokens(dict):
 
 def canonical(text: str) -> tuple:
     """Hashes of the words' lower-case forms; per word the slot type (0 none) in the view with
-    names and in the view without."""
+    names, in the view without and in the view where names may open a sentence."""
     if not _TOKENS:
         _TOKENS.append(_Tokens())
     table = np.frombuffer(b"".join(map(_TOKENS[0].__getitem__, _TOKEN.findall(text))), "<u8").reshape(-1, 2)
@@ -78,13 +78,13 @@ def canonical(text: str) -> tuple:
     beside[1:] |= number[:-1]
     beside[:-1] |= number[1:]
     plain = np.where(number, NUMBER, np.where((kind == UNIT) & beside, UNIT, 0))
-    return own, np.where((kind == NAME) & ~first, NAME, plain), plain
+    return own, np.where((kind == NAME) & ~first, NAME, plain), plain, np.where(kind == NAME, NAME, plain)
 
 
 def _views(text: str):
     """(view, hashes of the template words, whether each is a slot, hashes of the own words)"""
-    own, names, plain = canonical(text)
-    for view, slots in enumerate((names, plain)):
+    own, *every = canonical(text)
+    for view, slots in enumerate(every):
         yield view, np.where(slots > 0, slots.astype(np.uint64), own) ^ np.uint64(view), slots > 0, signed(own)
 
 

@@ -290,6 +290,14 @@ def test_decontamination(spark, empty):
     assert templates.matches(docs, none).count() == 0 and templates.matches(empty, bench).count() == 0
 
 
+def test_names_that_open_sentences(spark):
+    bench = spark.createDataFrame([(1, "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have now?")], "item_id long, text string")
+    texts = ["Ann has 7 apples. Ann buys 4 more. How many apples does Ann have now?", prose(1, 30) + ". Ann has 7 apples. Ann buys 4 more. How many apples does Ann have now? " + prose(2, 30),
+             "Ann has 7 apples. Bob buys 4 more. How many apples does Eve have now?", prose(3, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted((r.doc_id, r.kind) for r in templates.matches(docs, bench).collect()) == [(0, "renamed"), (1, "renamed")]
+
+
 def test_preference_pairs(spark):
     ddl = "pair_id long, turn long, role string, text string, chosen string"
     same = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "hello", "x")]
