@@ -9,11 +9,16 @@ Tom is Ann and 5 is 7 throughout. A second view without names finds passages who
 was changed, a third one takes capitalised words that open a sentence as names too. A document holds an item if consistent windows cover at least ``COVER`` percent of
 the item's windows.
 
+Items that no view has a window of (few words, or almost only placeholders) and items in scripts
+without blanks between words (Chinese, Japanese, Thai, Lao, Khmer, Burmese; a character is a token there) are joined
+exactly as well: their whole sequence of lower-case tokens, punctuation left out, must stand in the document. The first
+``WINDOW`` of these tokens lead, so a document is compared only where they stand.
+
 Only windows that pass a bit map of the benchmark's window hashes (a fixed number of bits)
 leave the scan of the documents, so the corpus is read once and never shuffled.
 
-Cases: null texts have no words; items under WINDOW words are matched as one window, items
-under ``LEAST`` words or with windows of almost only placeholders can't be matched; repeated
+Cases: null texts have no words; items under WINDOW words are matched as one window; items
+without a word match nothing, an item of one word every document that holds the word; repeated
 rows of a doc_id count as one document; an empty table on either side gives no matches;
 null ids are left out of matches and such rows kept; all columns of the documents are kept, whatever their
 names.
@@ -38,6 +43,10 @@ COVER = 60
 MAP_BITS = 24
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:/]\d+)*|[%$€£°]|[.!?…:;\n]")
+_UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED_ANY = re.compile(f"[{_UNSPACED}]")
+_OWN_TOKEN = re.compile(rf"[{_UNSPACED}]|[^\W\d_{_UNSPACED}]+(?:['’][^\W\d_{_UNSPACED}]+)*|\d+(?:[.,:/]\d+)*|[%$€£°]")
+_END = "\x1f"
 _STOPS = frozenset(".!?…:;\n")
 _NUMBERS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
 twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half third quarter""".split())
@@ -45,6 +54,8 @@ _UNITS = frozenset("""% $ € £ ° mm cm m km inch inches foot feet yard yards
 ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent cents euro
 euros percent degree degrees kmh mph watt watts volt volts joule joules meter meters metre metres centimeter centimeters kilometer kilometers""".split())
 STOP, NUMBER, UNIT, NAME = 1, 2, 3, 4
+#: the number of the exact rows beside the three views
+WHOLE = 3
 _TOKENS: list = []
 
 
@@ -88,8 +99,24 @@ def _views(text: str):
         yield view, np.where(slots > 0, slots.astype(np.uint64), own) ^ np.uint64(view), slots > 0, signed(own)
 
 
-_WIN = pa.schema([("id", pa.int64()), ("view", pa.int32()), ("at", pa.int32()), ("hash", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), ("slots", pa.list_(pa.int64()))])
-_WIN_DDL = "id long, view int, at int, hash long, n int, k int, slots array<long>"
+def _own_tokens(text: str) -> list:
+    """The text's lower-case tokens without stops; characters in scripts without blanks."""
+    return [x.lower() for x in _OWN_TOKEN.findall(text)]
+
+
+def _own_keys(text: str, own: np.ndarray) -> np.ndarray:
+    """Hashes of ``_own_tokens``. ``own``: the hashes of the words, which they are but for scripts without blanks."""
+    if text.isascii() or not _UNSPACED_ANY.search(text):
+        return own.view(np.uint64)
+    return np.frombuffer(b"".join(map(_TOKENS[0].__getitem__, _OWN_TOKEN.findall(text))), "<u8").reshape(-1, 2)[:, 0]
+
+
+def _joined(tokens: list) -> str:
+    return "".join(x + _END for x in tokens)
+
+
+_WIN = pa.schema([("id", pa.int64()), ("view", pa.int32()), ("at", pa.int32()), ("hash", pa.int64()), ("n", pa.int32()), ("k", pa.int32()), ("slots", pa.list_(pa.int64())), ("tokens", pa.string())])
+_WIN_DDL = "id long, view int, at int, hash long, n int, k int, slots array<long>, tokens string"
 
 
 def _rows(found: list):
@@ -104,19 +131,26 @@ def _literal(slot: np.ndarray, k: int) -> np.ndarray:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """id, view, at, hash, n (windows of the item in this view), k (their words), slots of every window."""
+    """id, view, at, hash, n (windows of the item in this view), k (their words), slots of every window. In the rows of
+    view ``WHOLE`` hash is that of the first k tokens, n their number in all and tokens the whole sequence."""
 
     def cut(batches):
         for batch in batches:
             found = []
             for item, text in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                for view, hashes, slot, own in _views(text.decode("utf-8", "replace")):
+                text, have = text.decode("utf-8", "replace"), len(found)
+                for view, hashes, slot, own in _views(text):
                     if len(own) < LEAST:
                         continue
                     k = min(WINDOW, len(own))
                     good = np.flatnonzero(_literal(slot, k))
                     keys = signed(windows(hashes, k))
-                    found += [(item, view, int(i), int(keys[i]), len(good), k, own[i:i + k][slot[i:i + k]].tolist()) for i in good]
+                    found += [(item, view, int(i), int(keys[i]), len(good), k, own[i:i + k][slot[i:i + k]].tolist(), None) for i in good]
+                if len(found) == have or _UNSPACED_ANY.search(text):
+                    tokens, keys = _own_tokens(text), _own_keys(text, own)
+                    k = min(WINDOW, len(keys))
+                    if k:
+                        found.append((item, WHOLE, 0, int(signed(windows(keys ^ np.uint64(WHOLE), k)[:1])[0]), len(tokens), k, None, _joined(tokens)))
             yield _rows(found)
 
     return benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string")).where("id IS NOT NULL").mapInArrow(cut, _WIN_DDL)
@@ -132,24 +166,42 @@ def _bit_map(items: DataFrame) -> np.ndarray:
     return out
 
 
-def _document_windows(docs: DataFrame, bit_map: np.ndarray, lengths: list) -> DataFrame:
-    """The documents' windows that pass the bit map."""
+def _document_windows(docs: DataFrame, bit_map: np.ndarray, lengths: list, whole: dict) -> DataFrame:
+    """The documents' windows that pass the bit map. ``whole``: the most tokens of the exact items with k leading ones."""
     shared = docs.sparkSession.sparkContext.broadcast(bit_map)
 
+    def passing(bits, keys):
+        low = keys & np.uint64((1 << MAP_BITS) - 1)
+        return bits[(low >> np.uint64(5)).astype(np.int64)] >> (low & np.uint64(31)).astype(np.uint32) & np.uint32(1) == 1
+
+    def leads(bits, doc, text, own):
+        """Where an exact item's first tokens stand, with as many tokens as such an item has; equal ones once."""
+        tokens, found = None, set()
+        for k, most in whole.items():
+            keys = windows(own ^ np.uint64(WHOLE), k)
+            at = np.flatnonzero(passing(bits, keys))
+            if k == most:  # nothing follows, so equal hashes are one
+                at = at[np.unique(keys[at], return_index=True)[1]]
+            if len(at) and tokens is None:
+                tokens = _own_tokens(text)
+            found.update((doc, WHOLE, 0, int(keys[i].view(np.int64)), 0, k, None, _joined(tokens[i:i + most])) for i in at.tolist())
+        return found
+
     def cut(batches):
         bits = shared.value
         for batch in batches:
             found = []
             for doc, text in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                for view, hashes, slot, own in _views(text.decode("utf-8", "replace")):
+                text = text.decode("utf-8", "replace")
+                for view, hashes, slot, own in _views(text):
                     for k in lengths:
                         if len(own) < k:
                             continue
                         keys = windows(hashes, k)
-                        low = keys & np.uint64((1 << MAP_BITS) - 1)
-                        hit = bits[(low >> np.uint64(5)).astype(np.int64)] >> (low & np.uint64(31)).astype(np.uint32) & np.uint32(1) == 1
-                        for i in np.flatnonzero(hit & _literal(slot, k)).tolist():
-                            found.append((doc, view, i, int(keys[i].view(np.int64)), 0, k, own[i:i + k][slot[i:i + k]].tolist()))
+                        for i in np.flatnonzero(passing(bits, keys) & _literal(slot, k)).tolist():
+                            found.append((doc, view, i, int(keys[i].view(np.int64)), 0, k, own[i:i + k][slot[i:i + k]].tolist(), None))
+                if whole:
+                    found += leads(bits, doc, text, _own_keys(text, own))
                 if len(found) > 20_000:
                     yield _rows(found)
                     found = []
@@ -162,10 +214,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched, kind (exact, or renamed where
     slots differ) of every document that holds a benchmark item."""
     items = written(item_windows(benchmark), "items")
-    lengths = [r.k for r in items.select("k").distinct().collect()]  # LEAST .. WINDOW
-    hits = _document_windows(docs, _bit_map(items), lengths).select(
+    shapes = items.groupBy((F.col("view") == WHOLE).alias("whole"), "k").agg(F.max("n").alias("most")).collect()  # LEAST .. WINDOW, and 1 .. WINDOW
+    whole = {r.k: r.most for r in shapes if r.whole}
+    found = _document_windows(docs, _bit_map(items), [r.k for r in shapes if not r.whole], whole)
+    if whole:
+        found = written(found, "hits")  # few, and read twice
+    hits = found.where(F.col("view") != WHOLE).select(
         F.col("id").alias("doc_id"), "view", F.col("at").alias("doc_at"), "hash", F.col("slots").alias("doc_slots"))
-    joined = hits.join(items.select(F.col("id").alias("item_id"), "view", "at", "hash", F.col("n").alias("n_windows"), "slots"), ["hash", "view"])
+    joined = hits.join(items.where(F.col("view") != WHOLE).select(F.col("id").alias("item_id"), "view", "at", "hash", F.col("n").alias("n_windows"), "slots"), ["hash", "view"])
     pairs = F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc"))
     # one alignment of one item in one document: at most the item's windows
     aligned = joined.select("doc_id", "item_id", "view", "n_windows", "at", (F.col("doc_at") - F.col("at")).alias("shift"), pairs.alias("pairs")).groupBy(
@@ -175,6 +231,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     views = consistent.groupBy("doc_id", "item_id", "view", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).cast("long").alias("n_matched"), F.min("same").alias("same"))
     enough = views.where(F.col("n_matched") * 100 >= F.col("n_windows") * COVER)
+    if whole:
+        leading = found.where(F.col("view") == WHOLE).select(F.col("id").alias("doc_id"), "hash", F.col("tokens").alias("doc_tokens"))
+        exact = leading.join(items.where(F.col("view") == WHOLE).select(F.col("id").alias("item_id"), "hash", "tokens"), "hash").where(F.expr("startswith(doc_tokens, tokens)"))
+        one = F.lit(1).cast("long")
+        enough = enough.select("doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "n_matched", "same").unionByName(
+            exact.select("doc_id", "item_id", one.alias("n_windows"), one.alias("n_matched"), F.lit(True).alias("same")))
     best = enough.groupBy("doc_id", "item_id").agg(F.max("n_windows").cast("long").alias("n_windows"), F.max("n_matched").alias("n_matched"), F.max("same").alias("same"))
     return best.select("doc_id", "item_id", "n_windows", "n_matched", F.when(F.col("same"), "exact").otherwise("renamed").alias("kind"))
 

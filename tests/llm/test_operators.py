@@ -298,6 +298,17 @@ def test_names_that_open_sentences(spark):
     assert sorted((r.doc_id, r.kind) for r in templates.matches(docs, bench).collect()) == [(0, "renamed"), (1, "renamed")]
 
 
+def test_items_without_windows(spark, empty):
+    items = ["What is 5 plus 7?", "12 + 30 = 42, 42 - 2 = 40, 40 / 8 = 5", "今天天气很好我们去公园散步吧", "วันนี้อากาศดีมาก", "Yes 3", "", "。。。"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [prose(1, 20) + " what is 5 plus 7 " + prose(2, 20), "What is 5 plus 8?", "so 12 + 30 = 42, 42 - 2 = 40, 40 / 8 = 5 it is", "他说今天天气很好我们去公园散步吧然后走了", "今天天气很好我们去公园吃饭吧",
+             "เขาบอกว่าวันนี้อากาศดีมากจริงๆ", "yes 3 yes 3 yes 3", "yes 33", None, "What is 5 plus"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_windows, r.n_matched, r.kind) for r in templates.matches(docs, bench).collect())
+    assert got == [(d, i, 1, 1, "exact") for d, i in [(0, 0), (2, 1), (3, 2), (5, 3), (6, 4)]]
+    assert templates.matches(empty, bench).count() == 0
+
+
 def test_preference_pairs(spark):
     ddl = "pair_id long, turn long, role string, text string, chosen string"
     same = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", "hello", "x")]
