@@ -21,16 +21,16 @@ _COARSE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian uint32 bytes, equal to
-    ``tokenizer.encode(text, add_special_tokens=False)``. Strings that look like special
-    tokens are ordinary text. Texts with white space other than blank and newline are
-    encoded whole. ``keeps_space``: the tokenizer's pieces hold white space and case;
+    ``tokenizer.encode(text, add_special_tokens=False)``. Texts that hold the string of an
+    added token (as <|endoftext|>) or white space other than blank and newline are encoded
+    whole. ``keeps_space``: the tokenizer's pieces hold white space and case;
     else it drops both."""
 
     def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.keeps_space = keeps_space
         self.known: dict[str, bytes] = {}
         if keeps_space:
@@ -66,6 +66,8 @@ class Encoder:
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
     def _pieces(self, text: str) -> list | None:
+        if any(x in text for x in self.added):
+            return None
         if _PLAIN.match(text):
             return _FINE[self.keeps_space].findall(text if self.keeps_space else text.lower())
         if _ODD_SPACE.search(text):

@@ -62,6 +62,16 @@ def test_encoder_equals_library():
         assert enc.encode(odd) == want and enc.encode(odd) == want
 
 
+def test_encoder_equals_fresh_library():
+    from tokenizers import Tokenizer
+    odd = ["hello <|endoftext|> a", "<|endoftext|>", "<|startoftext|>a b<|endoftext|>", "x\n<|endoftext|>\ny", "<|ENDOFTEXT|> é", "a <|endoftext| > b", "it’s <|endoftext|>é\u3000z", "plain text"]
+    for path, keeps in ((BYTE, True), (PLAIN, False)):
+        fresh = Tokenizer.from_file(path)
+        want = [np.asarray(fresh.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in odd]
+        assert Encoder(path, keeps).encode(odd) == want
+    assert Encoder(BYTE, True).encode(odd[:1])[0] == np.array([31373, 220, 50256, 257], "<u4").tobytes()
+
+
 def test_wavelet_shard_queries():
     ids = np.random.default_rng(0).integers(0, 50257, 70_000).astype(np.uint16)
     ids[::3] = 7
