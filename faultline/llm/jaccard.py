@@ -71,10 +71,10 @@ def least_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def points(sets: list) -> np.ndarray:
-    """Counts per group of each set, one row a set, at most 65535 a group."""
-    out = np.zeros((len(sets), GROUPS), np.uint16)
+    """Counts per group of each set, one row a set."""
+    out = np.zeros((len(sets), GROUPS), np.uint32)
     for i, s in enumerate(sets):
-        out[i] = np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS), 65535)
+        out[i] = np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
     return out
 
 
@@ -220,7 +220,7 @@ def _tree_pairs(buckets: DataFrame, texts: DataFrame) -> DataFrame:
 
     def search(table):
         token, u, v, node, ids, n, label = (table.column(c).to_numpy() for c in ("token", "u", "v", "node", "doc_id", "n", "label"))
-        at = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS).astype(np.int32)
+        at = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int32)
         order = np.lexsort((v, u, token))
         new = np.flatnonzero((np.diff(token[order]) != 0) | (np.diff(u[order]) != 0) | (np.diff(v[order]) != 0)) + 1
         found = []

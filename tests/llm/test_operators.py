@@ -147,6 +147,13 @@ def test_tree_leaves_no_pair_out():
     assert got == want and want
 
 
+def test_tree_bounds_very_long_sets():
+    s = np.arange(100_000, dtype=np.uint64)  # one group
+    at = jaccard.points([s, s[:-1]]).astype(np.int32)
+    got = [(x.tolist(), y.tolist()) for x, y in jaccard._open(np.array([0]), np.array([1]), at, np.array([100_000, 99_999]), np.arange(2))]
+    assert at[0, 0] == 100_000 and got == [([0], [1])]
+
+
 def test_substrings(docs, rows, empty):
     words = [(r[0], WORD.findall(r[1] or "")) for r in rows]
     first = {}
