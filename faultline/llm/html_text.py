@@ -5,10 +5,11 @@ tags. Its composite density is its characters per tag, lowered the more of them
 a node's sum is that of its children's densities, and the node of the largest sum leads the
 article. The smallest density on the way from it to the body is the threshold: branches
 beside that way join the text if they reach it and are not mostly links, and link lists
-inside the article that stay under it are left out. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles, told by tag, role or class name, are cut
-before anything is measured. Where an article or main element holds the leading node, the text stays
-within the outermost one.
+inside the article that stay under it are left out. Menus, headers, footers, sidebars,
+forms, scripts and styles, told by tag, role or a hidden state, are cut before anything is measured.
+A class or id name that sounds like a menu, notice, advert or comment lowers the densities of the node and all in it,
+unless it holds an article, a main or most of the text. Where an article or main element holds the leading
+node, the text stays within the outermost one and the articles beside it that reach the threshold.
 
 Cases: null and empty pages have an empty text; broken markup (unclosed or stray tags, a
 page cut off) is read as browsers do for paragraphs, lists and tables; a page of very many
@@ -43,32 +44,39 @@ alert newsletter subscribe subscription signup popup modal overlay sidebar rail
 comment comments commentlist reply replies respond disqus discussion related recommended recommendations share sharing social widget toolbar pagination
 pager login search skip""".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar note".split())
+CUT, NAMED = 1, 2
 _NAME_PARTS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
+#: what a class or id name that sounds like no article leaves of a node's density
+PRIOR = 1 / 32
+
+
+def _is_noise(tag: str, attributes: str, in_article: bool) -> int:
+    """CUT: no part of the page's text. NAMED: its class or id only sounds so."""
     if tag in _CUT:
-        return True
+        return CUT
     if tag in _KEEP:
-        return False
+        return 0
     if tag == "header" and not in_article:
-        return True
+        return CUT
     if not attributes:
-        return False
+        return 0
+    named = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if not name:
-            return True  # hidden
+            return CUT  # hidden
         if name in ("class", "id"):
             parts = _NAME_PARTS.findall(_CAMEL.sub(" ", value).lower())
             if not _NOISE.isdisjoint(parts) or "header" in parts and not in_article:
-                return True
+                named = NAMED
         elif name == "role" and value.lower() in _NOISE_ROLES or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return CUT
         elif name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return CUT
+    return named
 
 
 class _Tree:
@@ -78,14 +86,30 @@ class _Tree:
         self.parent, self.tag = [-1], ["#root"]
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
         self.pieces: list = []  # (node, text), or (node, None) at the edge of a block
+        self.noise = [False]
         self._read(page)
+        self._clear_holders()
         for i in range(len(self.parent) - 1, 0, -1):
+            if self.noise[i]:  # measured for itself
+                continue
             p = self.parent[i]
             self.chars[p] += self.chars[i]
             self.link_chars[p] += self.link_chars[i]
             self.tags[p] += self.tags[i] + 1
             self.link_tags[p] += self.link_tags[i] + (self.tag[i] == "a")
 
+    def _clear_holders(self) -> None:
+        """A name counts for nothing on a node that holds an article, a main or over three fifths
+        of the body's characters outside links."""
+        if True not in self.noise:
+            return
+        plain, holds = [c - lc for c, lc in zip(self.chars, self.link_chars)], [t in ("article", "main") for t in self.tag]
+        for i in range(len(self.parent) - 1, 0, -1):
+            plain[self.parent[i]] += plain[i]
+            holds[self.parent[i]] |= holds[i]
+        body = plain[self.tag.index("body") if "body" in self.tag else 0]
+        self.noise = [n and not holds[i] and 5 * plain[i] <= 3 * body for i, n in enumerate(self.noise)]
+
     def _read(self, page: str) -> None:
         stack, cut, links, articles, at = [0], 0, 0, 0, 0  # cut: depth in the stack where noise began
 
@@ -149,12 +173,14 @@ class _Tree:
                     self.pieces.append((stack[-1], " "))
                 continue
             node = len(self.parent)
-            if not cut and _is_noise(tag, attributes, articles > 0):
+            kind = 0 if cut else _is_noise(tag, attributes, articles > 0)
+            if kind == CUT:
                 cut = len(stack) + 1
                 self.pieces.append((stack[-1], None if tag in _BLOCK else " "))
             if not cut:
                 self.parent.append(stack[-1])
                 self.tag.append(tag)
+                self.noise.append(kind == NAMED)
                 for counts in (self.chars, self.link_chars, self.tags, self.link_tags):
                     counts.append(0)
                 if tag in _BLOCK:
@@ -169,6 +195,7 @@ class _Tree:
                 if cut:  # only the nesting matters in there
                     self.parent.append(stack[-1])
                     self.tag.append(tag)
+                    self.noise.append(False)
                     for counts in (self.chars, self.link_chars, self.tags, self.link_tags):
                         counts.append(0)
                 stack.append(node)
@@ -191,6 +218,11 @@ class _Tree:
             base = math.log(c / plain * lc + ratio * c + math.e)
             weight = math.log(max(c / lc1 * t / lt1, 1.0) + 1) / max(1e-9, math.log(base + 1))
             out.append(c / t * weight)
+        lowered = [False] * len(out)
+        for i in range(1, len(out)):
+            lowered[i] = self.noise[i] or lowered[self.parent[i]]
+            if lowered[i]:
+                out[i] *= PRIOR
         return out
 
 
@@ -217,13 +249,15 @@ def main_text(page: str) -> str:
     for i in range(len(density)):
         p = tree.parent[i]
         links = 2 * tree.link_chars[i] > tree.chars[i]
-        if i == top:
+        if i == top or frame is not None and p == tree.parent[top] and tree.tag[i] == "article" and density[i] >= threshold and not links:
             take[i] = True
         elif p < 0 or not take[p]:
             continue
         elif i in on_way:
             take[i] = True
-        elif inside[p] or frame is not None:
+        elif tree.noise[i]:
+            take[i] = not links and tree.chars[i] > 0 and density[i] >= threshold
+        elif inside[p]:
             # a lone link in a sentence belongs to it; blocks of links don't
             take[i] = not (links and density[i] < threshold and tree.tag[i] in _BLOCK and tree.link_tags[i] > 1)
         else:

@@ -351,6 +351,20 @@ def test_main_text():
     assert html_text.main_text("<b>" * 5000 + "deep") == "deep"
 
 
+def test_names_are_no_verdict():
+    words = "Long enough sentences of an article that says many things about one matter and goes on for a while."
+    for name in ("content has-sidebar", "no-comments", "social-science", "search-result-page", "layout-with-nav"):
+        for tag in ("article", "section"):
+            page = f"<html><body><div class='menu'><a href=x>A</a></div><div class='{name}'><{tag}><p>{words}</p><p>{words}</p></{tag}></div></body></html>"
+            assert html_text.main_text(page) == f"{words}\n{words}"
+
+
+def test_articles_beside_the_leading_one():
+    words = [f"{w} sentences of an article that says many things about one matter and goes on for a while." for w in ("First", "Second", "Third")]
+    page = "<html><body>" + "".join(f"<article><p>{w}</p><p>{w}</p></article>" for w in words) + "<article><a href=x>a</a> <a href=y>b</a></article></body></html>"
+    assert html_text.main_text(page) == "\n".join(w for w in words for _ in "ab")
+
+
 def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, None, 1), (2, "u", "<article><p>a b</p></article>", 1), (None, "u", "", 1)], "page_id long, url string, html string, text long")
     got = sorted(((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(pages).collect()))
