@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.llm import html_text, jaccard, lines, packing, preference, ring, rules, substrings, templates, wavelet
+from faultline.llm import align, html_text, jaccard, lines, merkle, novelty, packing, preference, ring, rules, substrings, templates, wavelet
 from faultline.llm.common import read_table
 
 
@@ -53,9 +53,23 @@ def op10_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(read_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return novelty.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op13_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(merkle.document_leaves(read_table(spark, sf_dir, "documents"))).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_wavelet_shards, op2_template_matches, op3_line_chunks, op4_residual_packing, op5_preference_pairs, op6_count_vector_join,
-    op7_bounded_ring, op8_text_density, op9_suffix_tree_dedup, op10_adaptive_rules)}
+    op7_bounded_ring, op8_text_density, op9_suffix_tree_dedup, op10_adaptive_rules,
+    op11_arrow_alignment, op12_zstd_novelty, op13_butterfly_manifest)}
 
 ORACLES: dict[str, str] = {
     "op3_line_chunks": lines.SQL.format(docs="documents") + """
