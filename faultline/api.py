@@ -68,11 +68,15 @@ def predict_future_v4(panel: DataFrame, days: int = 30, predictor=forecast.trail
                                 predictor, weather_df)
 
 
-def train_v5(panel: DataFrame, weather_df: DataFrame | None = None, **kw) -> dict:  # M11
-    return v5.train_v5(panel, weather_df, **kw)
+def train_v5(panel: DataFrame, weather_df: DataFrame | None = None, **kw) -> v5.Bundle:  # M11
+    return v5.train(panel, weather_df, v4=False, **kw)
 
 
-def predict_future_v5(panel: DataFrame, bundle: dict, days: int = 30,
+def train_v4(panel: DataFrame, weather_df: DataFrame | None = None, **kw) -> v5.Bundle:  # M9
+    return v5.train(panel, weather_df, v5=False, **kw)
+
+
+def predict_future_v5(panel: DataFrame, bundle: v5.Bundle, days: int = 30,
                       weather_df: DataFrame | None = None) -> DataFrame:  # M12, M13
     return v5.forecast_v5_model(panel, bundle, days, weather_df)
 

@@ -5,7 +5,7 @@ statistic lookups with defaults (J7).
 The base predictor is pluggable: a function that adds ``_p`` (V4/v1) or
 ``_p30, _p50, _p70`` (V5) to the future grid. The default stand-in is a trailing
 mean of the origin features, which keeps every step exact against SQL; the
-quantile-boosting models of ``operators.quantile`` plug in the same way.
+trained models of ``operators.v5`` plug in the same way.
 """
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline import config as C
 from faultline.functions import calendar_columns, nonneg_round
+from faultline.operators.boosting import bound
 from faultline.operators.samples import origin_features
 
 KEY = ["Zona", "Nodo"]
@@ -94,7 +95,7 @@ def forecast_direct(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, d
         from faultline.operators.weather import lookup_weather
         grid = lookup_weather(grid, weather)
     g = mark_served(predictor(attach_stats(grid, seasonal, factors)), served)
-    p = F.when(F.col("_served"), F.col(pred_col)).otherwise(F.coalesce("seasonal", F.lit(0.0)))
+    p = F.coalesce(F.when(F.col("_served"), F.col(pred_col)), "seasonal", F.lit(0.0))
     final = blend(p, F.col("dow_factor"), F.col("seasonal"), damping)
     return g.select("Fecha", *KEY, nonneg_round(final).alias("Prediccion_Tickets"))
 
@@ -128,9 +129,9 @@ def _steps(grid: DataFrame, fields) -> DataFrame:
 
 def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days: int,
                           weather: DataFrame | None = None,
-                          damping: float = C.V5_DOW_DAMPING, served: DataFrame | None = None) -> DataFrame:
-    """M12 + M13 with the stand-in quantile predictor: each day's rounded forecast
-    feeds the next day's lags and means. Series outside ``served`` get their seasonal mean
+                          damping: float = C.V5_DOW_DAMPING, served: DataFrame | None = None, model=None) -> DataFrame:
+    """M12 + M13: each day's rounded forecast feeds the next day's lags and means. ``model`` is a
+    trained predictor (``v5.Recursion``), None the stand-in. Series outside ``served`` get their seasonal mean
     (0 without one) as forecast and quantiles, which feeds on unrounded.
 
     Sequential in days, parallel in series: the whole recursion runs inside one
@@ -144,52 +145,64 @@ def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFr
     else:
         grid = grid.withColumn("es_lluvia_fuerte", F.lit(0))
     grid = mark_served(attach_stats(grid, seasonal, factors), served)
+    if model is not None:
+        grid = model.grid(grid)
     risky = ((F.col("es_lluvia_fuerte") == 1) | (F.col("es_quincena") == 1)
              | (F.col("es_lunes") == 1))
     steps = _steps(grid, [F.col("Horizonte").alias("h"), F.col("Fecha").alias("f"),
                           F.col("dow_factor").alias("k"), F.col("seasonal").alias("s"),
-                          risky.alias("r"), F.col("_served").alias("m")])
+                          risky.alias("r"), F.col("_served").alias("m"), *[F.col(c) for c in (model.fields if model else ())]])
     state0 = origin.select(*KEY, "_win").join(steps, KEY)
+    if model is not None:
+        state0 = model.state(state0)
     out_t = "array<struct<Fecha:date,Prediccion_Tickets:bigint,Pred_Q30:bigint,Pred_Q50:bigint,Pred_Q70:bigint>>"
 
     def step(acc, s):
         w = acc["win"]
         ma7 = _avg(F.slice(w, -7, 7))
         ma14 = _avg(F.slice(w, -14, 14))
-        p30, p50, p70 = F.least(ma7, ma14), ma7, F.greatest(ma7, ma14)
-        a, b, c = v5_blend_weights(s["r"])
-        xgb = a * p30 + b * p50 + c * p70
-        final = blend(xgb, s["k"], s["s"], damping)
-        fr = F.greatest(F.lit(0.0), F.bround(final, 0))
+        found = F.array(F.least(ma7, ma14), ma7, F.greatest(ma7, ma14)) if model is None else model.quantiles(w, s, ma7, ma14)
         seas = F.coalesce(s["s"], F.lit(0.0))
-        own = lambda x: F.when(s["m"], x).otherwise(seas)
-        row = F.struct(s["f"].alias("Fecha"), nonneg_round(own(fr)).alias("Prediccion_Tickets"),
-                       nonneg_round(own(p30)).alias("Pred_Q30"), nonneg_round(own(p50)).alias("Pred_Q50"),
-                       nonneg_round(own(p70)).alias("Pred_Q70"))
-        return F.struct(F.slice(F.concat(w, F.array(own(fr))), -14, 14).alias("win"),
-                        F.concat(acc["out"], F.array(row)).alias("out"))
+        a, b, c = v5_blend_weights(s["r"])
+
+        def own(x, p):
+            return F.coalesce(F.when(s["m"] & p[1].isNotNull(), x), seas)
+
+        def rounded(p):
+            final = blend(a * p[0] + b * p[1] + c * p[2], s["k"], s["s"], damping)
+            return F.struct(p.alias("p"), own(F.greatest(F.lit(0.0), F.bround(final, 0)), p).alias("fr"))
+
+        def row(v):
+            p, fr = v["p"], v["fr"]
+            out = F.struct(s["f"].alias("Fecha"), nonneg_round(fr).alias("Prediccion_Tickets"), nonneg_round(own(p[0], p)).alias("Pred_Q30"),
+                           nonneg_round(own(p[1], p)).alias("Pred_Q50"), nonneg_round(own(p[2], p)).alias("Pred_Q70"))
+            return F.struct(F.slice(F.concat(w, F.array(fr)), -14, 14).alias("win"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+        return bound(bound(found, rounded), row)
 
     init = F.struct(F.col("_win").alias("win"), F.array().cast(out_t).alias("out"))
     res = state0.select(*KEY, F.aggregate("_steps", init, step, lambda acc: acc["out"]).alias("_o"))
     return res.select(*KEY, F.inline("_o")).select(*V5_COLUMNS)
 
 
-def forecast_v1_recursive(panel: DataFrame, days: int, y: str = "Tickets_Total") -> DataFrame:
-    """v1 recursion with the stand-in (mean of the previous up-to-7 values);
-    future dates start the day after the *global* last date, for every pair."""
+def forecast_v1_recursive(panel: DataFrame, days: int, y: str = "Tickets_Total", model=None) -> DataFrame:
+    """v1 recursion, with ``model`` (``v5.RecursionV1``) or the stand-in (mean of the previous
+    up-to-7 values); future dates start the day after the *global* last date, for every pair."""
     last = panel.agg(F.max("Fecha")).first()[0]
     w = Window.partitionBy(*KEY).orderBy("Fecha")
     hist = (panel.select(*KEY, "Fecha", y)
             .withColumn("_win", F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(-13, 0)))
             .withColumn("_rn", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("Fecha"))))
             .filter("_rn = 1").select(*KEY, "_win"))
+    if model is not None:
+        hist = model.state(hist)
     dates = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda h: F.date_add(F.lit(last), h))
     out_t = "array<struct<Fecha:date,Prediccion_Tickets:bigint>>"
 
     def step(acc, d):
         w_ = acc["win"]
         k = F.least(F.size(w_), F.lit(7))
-        p = _avg(F.slice(w_, -k, k))
+        p = _avg(F.slice(w_, -k, k)) if model is None else model.point(w_, d)
         fr = F.greatest(F.lit(0.0), F.bround(p, 0))
         return F.struct(F.slice(F.concat(w_, F.array(fr)), -14, 14).alias("win"),
                         F.concat(acc["out"], F.array(F.struct(

@@ -197,17 +197,3 @@ def temporal_evaluation(tickets: DataFrame, cutoff, max_iter: int = TUNED_TREES)
     e = F.abs(F.col("prediction") - F.col("Minutos_Resolucion"))
     return p.agg(F.avg(e).alias("MAE"), F.sum("Minutos_Resolucion").alias("Real_Acumulado"),
                  F.sum("prediction").alias("Prediccion_Acumulada"), F.count(F.lit(1)).alias("Tickets"))
-
-
-V1_FEATURES = ["Dia_Semana", "Mes", "Lag_1", "Lag_7", "Media_Movil_7d", "Media_Movil_14d"]
-
-
-def train_demand_v1(panel: DataFrame, max_iter: int = 50, depth: int = 5, seed: int = 42) -> PipelineModel:
-    """M8: zone and node one-hot plus the six panel features, squared-error GBT."""
-    from pyspark.ml.feature import OneHotEncoder
-    stages = [StringIndexer(inputCols=["Zona", "Nodo"], outputCols=["_zi", "_ni"], handleInvalid="keep"),
-              OneHotEncoder(inputCols=["_zi", "_ni"], outputCols=["_zo", "_no"], handleInvalid="keep"),
-              VectorAssembler(inputCols=V1_FEATURES + ["_zo", "_no"], outputCol="_x"),
-              GBTRegressor(featuresCol="_x", labelCol="Tickets_Total", maxIter=max_iter, maxDepth=depth,
-                           seed=seed)]
-    return Pipeline(stages=stages).fit(panel)

@@ -1,149 +1,46 @@
-"""Quantile (pinball-loss) gradient boosting as Spark jobs.
-
-``pyspark.ml`` boosting offers squared and absolute loss only, so each round fits a
-``DecisionTreeRegressor`` to the pinball negative gradient (alpha where y is above
-the current fit, alpha - 1 elsewhere) and then resets every leaf to the alpha
-quantile of the residuals that fall in it (Friedman 2001), using a bounded quantile sketch per leaf. Leaf values are a few
-scalars per tree, applied as a literal lookup on the tree's ``leafCol`` -- no join.
-Lineage is cut with reliable checkpoints every few rounds.
-"""
+"""One quantile (pinball-loss) model over a whole frame: ``boosting`` with a single segment."""
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.session import cut_lineage
-
-
-def _parse_tree(debug: str):
-    """Parse a regression tree's debug text into nested (feature, threshold, left,
-    right) tuples; leaves become their ordinal, numbered left to right."""
-    lines = [ln.strip() for ln in debug.splitlines()[1:] if ln.strip()]
-    pos = 0
-    leaves = 0
-
-    def node():
-        nonlocal pos, leaves
-        ln = lines[pos]
-        pos += 1
-        if ln.startswith("Predict"):
-            leaves += 1
-            return leaves - 1
-        m = re.match(r"If \(feature (\d+) <= (\S+)\)", ln)
-        if not m:
-            raise ValueError(f"unsupported split: {ln}")
-        left = node()
-        if not lines[pos].startswith("Else"):
-            raise ValueError(f"malformed tree text at: {lines[pos]}")
-        pos += 1
-        right = node()
-        return (int(m.group(1)), float(m.group(2)), left, right)
-
-    root = node()
-    return root, leaves
-
-
-def _leaf_expr(tree, features):
-    """Column giving the leaf ordinal of each row (NULL/NaN features go right, as in
-    the tree itself)."""
-    if isinstance(tree, int):
-        return F.lit(tree)
-    f, thr, left, right = tree
-    return F.when(F.col(features[f]) <= F.lit(thr), _leaf_expr(left, features)) \
-        .otherwise(_leaf_expr(right, features))
+from faultline.operators import boosting
 
 
 @dataclass
 class QuantileGBM:
     alpha: float
     features: list
-    rounds: int = 15
+    rounds: int = 100
     depth: int = 4
-    rate: float = 0.3
+    rate: float = 0.1
     min_rows_leaf: int = 20
     seed: int = 42
-    checkpoint_every: int = 5
     init: float = 0.0
-    trees: list = field(default_factory=list)        # parsed split structures
-    leaf_values: list = field(default_factory=list)  # per tree: value of each leaf ordinal
-
-    def _value(self, i: int):
-        vals = F.array(*[F.lit(float(v)) for v in self.leaf_values[i]])
-        return F.element_at(vals, _leaf_expr(self.trees[i], self.features) + 1)
+    models: DataFrame | None = field(default=None, repr=False)
 
     def fit(self, df: DataFrame, label: str) -> "QuantileGBM":
-        a = self.alpha
-        base = df.select(*[F.col(c).cast("double").alias(c) for c in self.features],
-                         F.col(label).cast("double").alias("_y"))
-        self.init = base.agg(F.percentile_approx("_y", a, 10000)).first()[0]
-        cur = cut_lineage(base.withColumn("_f", F.lit(float(self.init))))
-        asm = VectorAssembler(inputCols=self.features, outputCol="_qx", handleInvalid="keep")
-        for r in range(self.rounds):
-            g = asm.transform(cur.withColumn(
-                "_g", F.when(F.col("_y") > F.col("_f"), F.lit(a)).otherwise(F.lit(a - 1.0))))
-            dt = DecisionTreeRegressor(featuresCol="_qx", labelCol="_g", maxDepth=self.depth,
-                                       minInstancesPerNode=self.min_rows_leaf,
-                                       seed=self.seed + r).fit(g)
-            tree, n_leaves = _parse_tree(dt.toDebugString)
-            self.trees.append(tree)
-            leaf = _leaf_expr(tree, self.features)
-            # bounded-memory, mergeable quantile sketch: a hot leaf is pre-aggregated map-side
-            q = (cur.groupBy(leaf.alias("_leaf"))
-                 .agg(F.percentile_approx(F.col("_y") - F.col("_f"), a, 10000).alias("v")).collect())
-            vals = [0.0] * n_leaves
-            for row in q:
-                vals[int(row["_leaf"])] = float(row["v"])
-            self.leaf_values.append(vals)
-            cur = cur.withColumn("_f", F.col("_f") + F.lit(self.rate) * self._value(r))
-            if (r + 1) % self.checkpoint_every == 0:
-                cur = cut_lineage(cur)
+        spec = boosting.Spec("q", "pinball", self.alpha, rounds=self.rounds, rate=self.rate, depth=self.depth, child_weight=self.min_rows_leaf, seed=self.seed)
+        fitted = boosting.fit(df, self.features, [spec], label)
+        self.models, self.init = fitted.frame(df.sparkSession), float(fitted.base["all", 0])
         return self
 
-    def expression(self):
-        """The whole model as one Catalyst expression over the feature columns (built
-        once and reused, e.g. by every step of an iterative forecast)."""
-        cached = getattr(self, "_expr", None)
-        if cached is not None and cached[0] == len(self.trees):
-            return cached[1]
-        acc = F.lit(float(self.init))
-        for i in range(len(self.trees)):
-            acc = acc + F.lit(self.rate) * self._value(i)
-        self._expr = (len(self.trees), acc)
-        return acc
-
     def predict(self, df: DataFrame, out: str) -> DataFrame:
-        return df.withColumn(out, self.expression())
+        scored = boosting.attach(df, self.models, F.lit("all"), "_model_")
+        return scored.withColumn(out, boosting.scored([F.col("_model_q")], boosting.vector(self.features))[0]).drop("_model_q")
 
     def save(self, path: str) -> None:
-        """The model is plain data (splits, leaf values): one small Parquet file."""
-        import json
-        from pyspark.sql import SparkSession
-        s = SparkSession.getActiveSession()
-        row = [(float(self.alpha), float(self.init), float(self.rate), ",".join(self.features),
-                json.dumps(self.trees), json.dumps(self.leaf_values))]
-        s.createDataFrame(row, "alpha double, init double, rate double, features string, "
-                               "trees string, leaf_values string").coalesce(1) \
-            .write.mode("overwrite").parquet(path)
+        """The model is plain data."""
+        self.models.select("*", F.lit(self.alpha).alias("alpha"), F.array(*[F.lit(f) for f in self.features]).alias("features")) \
+            .coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, path: str) -> "QuantileGBM":
-        import json
-        from pyspark.sql import SparkSession
-        r = SparkSession.getActiveSession().read.parquet(path).first()
-
-        def tup(x):
-            return x if isinstance(x, int) else (x[0], x[1], tup(x[2]), tup(x[3]))
-
-        m = cls(alpha=r["alpha"], features=r["features"].split(","), rate=r["rate"])
-        m.init = r["init"]
-        m.trees = [tup(t) for t in json.loads(r["trees"])]
-        m.leaf_values = json.loads(r["leaf_values"])
-        return m
+        models = SparkSession.getActiveSession().read.parquet(path)
+        r = models.first()
+        return cls(alpha=r["alpha"], features=r["features"], init=r["base"], models=models.drop("alpha", "features"))
 
 
 def pinball_loss(df: DataFrame, y: str, pred: str, alpha: float) -> DataFrame:

@@ -32,13 +32,15 @@ def direct_samples(df: DataFrame, y: str = "Tickets_Total", max_h: int = C.MAX_H
 
     No self-join: each origin row gathers the next ``max_h`` rows of its own series
     through a bounded window frame (same partitioning as the feature windows), and
-    the horizon explode happens last, so the windows run on 1x rows."""
+    the horizon explode happens last, so the windows run on 1x rows. Before it the origins are
+    dealt evenly, so one long series isn't one task of ``max_h`` times its rows."""
     w = Window.partitionBy(*KEY).orderBy("Fecha")
     o = origin_features(df.select(*KEY, "Fecha", y), y)
     o = o.withColumn("_fut", F.collect_list(F.struct(
         F.col("_idx").alias("i"), F.col("Fecha").alias("f"), F.col(y).alias("y")))
         .over(w.rowsBetween(1, max_h)))
-    o = o.filter(F.col("_idx") >= min_origin)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    o = o.filter(F.col("_idx") >= min_origin).repartition(tasks, *KEY, "_idx")
     e = o.select(*KEY, "_idx", "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin",
                  "Media_Movil_14d_origin", F.explode("_fut").alias("_t"))
     e = e.filter(F.col("_t.i") >= min_target)

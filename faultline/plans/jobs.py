@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.operators import (backtest, clean, demand, forecast, metrics, models, profile,
                                  reports, splits, stats, v5)
+from faultline.session import landed
 
 
 def master_pipeline(raw_export: DataFrame, sla_sheet: DataFrame | None = None, top_n: int = 10) -> dict:
@@ -25,11 +26,12 @@ def master_pipeline(raw_export: DataFrame, sla_sheet: DataFrame | None = None, t
     return out
 
 
-def demand_forecasting(raw_export: DataFrame, days: int = 30) -> dict:
-    """B2: export -> demand panel -> v1 recursive forecast -> history + forecast table."""
+def demand_forecasting(raw_export: DataFrame, days: int = 30, with_models: bool = True, **training) -> dict:
+    """B2: export -> demand panel -> v1 model and its recursive forecast -> history + forecast table.
+    ``training`` goes to ``v5.train_v1``; without models the stand-in forecasts."""
     counts = demand.daily_counts(clean.demand_tickets_from_export(raw_export))
-    panel = demand.demand_panel(counts)
-    fc = forecast.forecast_v1_recursive(panel, days)
+    panel = landed(demand.demand_panel(counts), "panel")
+    fc = forecast.forecast_v1_recursive(panel, days, model=v5.train_v1(panel, **training) if with_models else None)
     hist = panel.select("Fecha", "Zona", "Nodo", F.col("Tickets_Total").alias("Tickets"),
                         F.lit("historico").alias("serie"))
     both = hist.unionByName(fc.select("Fecha", "Zona", "Nodo", F.col("Prediccion_Tickets").alias("Tickets"),
@@ -38,22 +40,23 @@ def demand_forecasting(raw_export: DataFrame, days: int = 30) -> dict:
 
 
 def holdout_comparison(panel: DataFrame, cutoff, weather: DataFrame | None = None,
-                       days: int | None = None, with_models: bool = False) -> DataFrame:
+                       days: int | None = None, with_models: bool = False, **training) -> DataFrame:
     """Train before the cutoff, forecast the rest with V4, V5 iterative and
-    V5 direct, score per zone (MAE, MAPE, RMSE)."""
+    V5 direct, score per zone (MAE, MAPE, RMSE). ``with_models``: by models trained with the
+    arguments ``training`` (``v5.train``), else by the stand-in."""
     train, test = splits.date_cut(panel, cutoff)
     if days is None:
         hi = panel.agg(F.max("Fecha")).first()[0]
         days = (hi - (cutoff if isinstance(cutoff, dt.date) else dt.date.fromisoformat(cutoff))).days + 1
     se, fa = stats.seasonal_means(train), stats.dow_factors(train)
-    preds = {"V4": forecast.forecast_v4(train, se, fa, days),
-             "V5_Direct": forecast.forecast_v5_direct(train, se, fa, days)}
     if with_models:
-        bundle = v5.train_v5(train, weather)
-        preds["V5_Iter"] = v5.forecast_v5_model(train, bundle, days, weather).select(*forecast.FORECAST_COLUMNS)
+        train = landed(train, "panel")
+        bundle = v5.train(train, weather, **training)
+        preds = {"V4": v5.forecast_v4_model(train, bundle, days, weather), "V5_Direct": v5.forecast_v5_direct_model(train, bundle, days, weather),
+                 "V5_Iter": v5.forecast_v5_model(train, bundle, days, weather)}
     else:
-        preds["V5_Iter"] = forecast.forecast_v5_iterative(train, se, fa, days, weather).select(
-            *forecast.FORECAST_COLUMNS)
+        preds = {"V4": forecast.forecast_v4(train, se, fa, days), "V5_Direct": forecast.forecast_v5_direct(train, se, fa, days),
+                 "V5_Iter": forecast.forecast_v5_iterative(train, se, fa, days, weather)}
     out = None
     for name, p in preds.items():
         m = metrics.error_metrics(metrics.real_vs_pred(test, p)).withColumn("Modelo", F.lit(name))
@@ -78,30 +81,34 @@ def retrain(tickets: DataFrame, sla: DataFrame, path: str) -> None:
     models.save_model(reg, f"{path}/resolution_regressor")
 
 
-def month_evaluation(panel: DataFrame, cutoff, days: int | None = None) -> DataFrame:
-    """Forecast from the cutoff, join actuals on the full key (Q7), accumulate."""
+def month_evaluation(panel: DataFrame, cutoff, days: int | None = None, with_models: bool = True, **training) -> DataFrame:
+    """Train v1 before the cutoff, forecast from there, join actuals on the full key (Q7), accumulate."""
     train, test = splits.date_cut(panel, cutoff)
     if days is None:
         days = test.select("Fecha").distinct().count()  # distinct days, not rows (Q7)
-    fc = forecast.forecast_v1_recursive(train, days)
+    train = landed(train, "panel")
+    fc = forecast.forecast_v1_recursive(train, days, model=v5.train_v1(train, **training) if with_models else None)
     return metrics.accumulated(metrics.node_real_vs_pred(test, fc))
 
 
-def today_forecast(panel: DataFrame, day, weather: DataFrame | None = None) -> DataFrame:
-    """Per-zone totals for ``day``: actuals when present, else the V4 forecast."""
+def today_forecast(panel: DataFrame, day, weather: DataFrame | None = None, bundle: v5.Bundle | None = None) -> DataFrame:
+    """Per-zone totals for ``day``: actuals when present, else the V4 forecast, by a stored
+    ``bundle`` (``v5.load_bundle``) or the stand-in."""
     hi = panel.agg(F.max("Fecha")).first()[0]
     d = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
     horizon = max(1, (d - hi).days)
-    fc = forecast.forecast_v4(panel, stats.seasonal_means(panel), stats.dow_factors(panel), horizon, weather=weather)
+    fc = v5.forecast_v4_model(panel, bundle, horizon, weather) if bundle else \
+        forecast.forecast_v4(panel, stats.seasonal_means(panel), stats.dow_factors(panel), horizon, weather=weather)
     return reports.day_totals(panel, fc, d)
 
 
-def backcasts(panel: DataFrame, cutoffs_days, zone: str | None = None) -> DataFrame:
-    """V4 back-casts at fixed cutoffs (W14), joined to zone actuals (J3), MAE each."""
+def backcasts(panel: DataFrame, cutoffs_days, zone: str | None = None, bundle: v5.Bundle | None = None, weather: DataFrame | None = None) -> DataFrame:
+    """V4 back-casts at fixed cutoffs (W14), by a stored ``bundle`` or the stand-in, joined to
+    zone actuals (J3), MAE each."""
     out = None
     for c, days in cutoffs_days:
         train = panel.filter(F.col("Fecha") < F.lit(c).cast("date"))
-        fc = forecast.forecast_v4(train, stats.seasonal_means(train), stats.dow_factors(train), days)
+        fc = v5.forecast_v4_model(train, bundle, days, weather) if bundle else forecast.forecast_v4(train, stats.seasonal_means(train), stats.dow_factors(train), days)
         j = metrics.real_vs_pred(panel, fc)
         if zone is not None:
             j = j.filter(F.col("Zona") == zone)

@@ -2,15 +2,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators import metrics, models, profile, reports, v5
+from faultline.operators import forecast, metrics, models, profile, reports, stats, v5
 from faultline.operators.series import scaled_windows
 from faultline.operators.splits import chrono_split
 from faultline.plans import derived as D
-from faultline.plans.q_forecast import holdout
+from faultline.plans import sql_forecast as X
+from faultline.plans.q_forecast import BASE_WX, KEYS, STATS, V5I_SQL, holdout
 from faultline.plans.registry import query
+from faultline.session import landed
 
 
 @query("node_clusters")
@@ -73,34 +77,75 @@ def weekly_autoregression(t):
     return metrics.wape_precision(pred.withColumnRenamed("Tickets_Total", "Real"))
 
 
+#: the zone whose nodes have models of their own in these queries
+NODE_ZONE = "ASIA"
+#: boosting rounds of the registered demand models; the library's default is 100
+ROUNDS, RATE = 20, 0.3
+
+
+def train_panel(t):
+    """The panel before the held-out month and the weather, written once: many jobs read them."""
+    return t.memo("train_panel", lambda: (landed(holdout(t)[0], "panel"), landed(D.weather_table(t), "weather")))
+
+
+def demand_bundle(t, **which):
+    """M9 + M11: V4 and V5 models of every segment, trained before the held-out month."""
+    tr, wx = train_panel(t)
+    return t.memo(f"demand_bundle{which}", lambda: v5.train(tr, wx, rounds=ROUNDS, rate=RATE, subsample=0.5, node_zone=NODE_ZONE, **which))
+
+
 @query("forecast_v5_model")
 def forecast_v5_model(t):
-    """M11 + M12 + M13: pooled quantile boosting (3 alphas) scored iteratively over
-    the 30 held-out days, with the lineage-derived weather."""
-    tr, _, _, _ = holdout(t)
-    bundle = v5.train_v5(tr, D.weather_table(t), rounds=4, depth=4)
-    return v5.forecast_v5_model(tr, bundle, 30, weather=D.weather_table(t))
+    """M11 + M12 + M13: quantile boosting (3 alphas) per zone, and per node of one zone, scored inside
+    the recursion over the 30 held-out days."""
+    tr, wx = train_panel(t)
+    return v5.forecast_v5_model(tr, demand_bundle(t, v4=False), 30, wx)
 
 
 @query("forecast_v4_model")
 def forecast_v4_model(t):
-    """M9 + M10: V4 with a pooled alpha=0.6 quantile-boosting model over the V4 origin
-    features, calendar and weather, then the weekday damping and seasonal blend."""
-    from faultline import config as C
-    from faultline.operators import forecast, samples
-    from faultline.operators.quantile import QuantileGBM
-    from faultline.operators.stats import add_calendar
-    from faultline.operators.weather import lookup_weather
+    """M9 + M10: V4 with an alpha=0.6 model per segment over the V4 origin
+    features, one-hot nodes, calendar and weather, then the weekday damping and seasonal blend."""
+    tr, wx = train_panel(t)
+    return v5.forecast_v4_model(tr, demand_bundle(t, v5=False), 30, wx)
+
+
+@query("holdout_model_metrics")
+def holdout_model_metrics(t):
+    """B3 + B4: the trained V4, V5 iterative and V5 direct forecasts of the held-out month beside the
+    seasonal mean: MAE, MAPE, RMSE per zone."""
+    tr, wx = train_panel(t)
+    test, se, bundle = holdout(t)[1], stats.seasonal_means(tr), demand_bundle(t)
+    seasonal = test.select("Fecha", "Zona", "Nodo", F.weekday("Fecha").alias("dow")).join(se, ["Zona", "Nodo", "dow"], "left")
+    found = {"V4": v5.forecast_v4_model(tr, bundle, 30, wx), "V5_Iter": v5.forecast_v5_model(tr, bundle, 30, wx),
+             "V5_Direct": v5.forecast_v5_direct_model(tr, bundle, 30, wx),
+             "Estacional": seasonal.select("Fecha", "Zona", "Nodo", F.coalesce("seasonal", F.lit(0.0)).alias("Prediccion_Tickets"))}
+    parts = [metrics.error_metrics(metrics.real_vs_pred(test, p)).withColumn("Modelo", F.lit(name)) for name, p in found.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+#: a fixed tree: Lag_1 <= 3 ? (Horizonte <= 7 ? a : b) : (Media_Movil_7d <= 5 ? c : d)
+FIXED_LEAVES = {"q30": (-0.75, -0.5, 0.25, 0.5), "q50": (-0.25, 0.0, 0.5, 0.75), "q70": (0.25, 0.5, 1.25, 1.5)}
+_LEAF = "(base + CASE WHEN lag1 <= 3 THEN CASE WHEN h <= 7 THEN {0} ELSE {1} END ELSE CASE WHEN m7 <= 5 THEN {2} ELSE {3} END END)"
+_FIXED_SQL = BASE_WX + STATS + V5I_SQL.replace(X.iter_fc("v5i", KEYS), f"""
+segbase AS (SELECT CASE WHEN Zona = '{NODE_ZONE}' THEN Zona || '/' || Nodo ELSE Zona END AS seg, avg(CAST(Tickets_Total AS DOUBLE)) AS base FROM train GROUP BY ALL),
+fixg AS (SELECT g.*, b.base FROM v5ig2 g JOIN segbase b ON b.seg = CASE WHEN g.Zona = '{NODE_ZONE}' THEN g.Zona || '/' || g.Nodo ELSE g.Zona END),""" + X.iter_fc(
+    "v5i", KEYS, quantiles=[_LEAF.format(*v) for v in FIXED_LEAVES.values()], grid="fixg", extra=" s.base, list_extract(r.win, -1) AS lag1,"))
+
+
+@query("forecast_v5_fixed_trees", _FIXED_SQL + " SELECT * FROM v5ifc")
+def forecast_v5_fixed_trees(t):
+    """M12 + M13: the recursion scoring models as data, with one fixed tree on each segment's mean."""
     tr, _, se, fa = holdout(t)
-    s = samples.direct_samples(tr)
-    s = lookup_weather(add_calendar(s), D.weather_table(t))
-    feats = ["Dia_Semana", "Mes", "Horizonte", "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin",
-             "Media_Movil_14d_origin", "es_festivo", "es_quincena", "semana_del_mes", "dia_del_mes",
-             "es_lunes", "es_viernes", "es_finsemana", "precipitacion_mm", "temp_max", "viento_max_kmh",
-             "es_lluvia_fuerte", "es_lluvia", "lluvia_acum_3d"]
-    m = QuantileGBM(alpha=C.V4_QUANTILE_ALPHA, features=feats, rounds=4, depth=4).fit(s, "Tickets_Total")
-    return forecast.forecast_v4(tr, se, fa, 30, predictor=forecast.model_predictor(m),
-                                weather=D.weather_table(t))
+    means = tr.groupBy(v5.segment_of(NODE_ZONE).alias("segment")).agg(F.avg(F.col("Tickets_Total").cast("double")).alias("base"))
+    at = [v5.V5_FEATURES.index(f) for f in ("Lag_1", "Horizonte", "Media_Movil_7d")]
+
+    def model(q):
+        tree = F.struct(F.array(*map(F.lit, at)).alias("feature"), F.array(F.lit(3.0), F.lit(7.0), F.lit(5.0)).alias("cut"), F.array(*map(F.lit, FIXED_LEAVES[q])).alias("value"))
+        return means.select("segment", F.lit(q).alias("spec"), F.lit("pinball").alias("objective"), F.lit(2).alias("depth"), "base", F.array(tree).alias("trees"))
+    models = functools.reduce(DataFrame.unionByName, [model(q) for q in FIXED_LEAVES])
+    bundle = v5.Bundle(models, v5.V5_FEATURES, {}, NODE_ZONE, stats.target_encoding(tr), se, fa)
+    return v5.forecast_v5_model(tr, bundle, 30, weather=D.weather_table(t))
 
 
 @query("resolution_temporal_evaluation")
@@ -114,9 +159,19 @@ def resolution_temporal_evaluation(t):
 
 @query("demand_v1_model")
 def demand_v1_model(t):
-    """M8: one-hot zone/node GBT on the panel; held-out last-30-day MAE per zone."""
-    tr, te, _, _ = holdout(t)
-    model = models.train_demand_v1(tr, max_iter=20, depth=4)
-    p = model.transform(te)
-    e = F.abs(F.col("prediction") - F.col("Tickets_Total"))
-    return p.groupBy("Zona").agg(F.avg(e).alias("MAE"), F.count(F.lit(1)).alias("Filas"))
+    """M8 + M15: one-hot zone/node boosting on the panel; the held-out month is forecast recursively, day by
+    day from its own forecasts; MAE per zone."""
+    te = holdout(t)[1]
+    p = forecast.forecast_v1_recursive(train_panel(t)[0], 30, model=demand_v1(t))
+    e = F.abs(F.col("Proyeccion").cast("double") - F.col("Real"))
+    return metrics.node_real_vs_pred(te, p).groupBy("Zona").agg(F.avg(e).alias("MAE"), F.count(F.lit(1)).alias("Filas"))
+
+
+def demand_v1(t):
+    return t.memo("demand_v1", lambda: v5.train_v1(train_panel(t)[0], rounds=ROUNDS, rate=RATE, subsample=0.5))
+
+
+@query("demand_v1_recursive_model")
+def demand_v1_recursive_model(t):
+    """M8 + M15: the v1 model's forecast itself, 30 days for every series."""
+    return forecast.forecast_v1_recursive(train_panel(t)[0], 30, model=demand_v1(t))

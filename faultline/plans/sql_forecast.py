@@ -61,7 +61,9 @@ def direct_fc(p: str, keys, damping: float, label: str | None = None, base: str
   FROM (SELECT *, {base} * (1.0 + {damping} * (k - 1.0)) AS adj FROM {p}g2) x)"""
 
 
-def iter_fc(p: str, keys, label: str | None = None, unserved: str = "false") -> str:
+def iter_fc(p: str, keys, label: str | None = None, unserved: str = "false", quantiles=("least(m7, m14)", "m7", "greatest(m7, m14)"),
+            grid: str | None = None, extra: str = "") -> str:
+    q30, q50, q70 = quantiles
     ks = ", ".join(keys)
     kx = ", ".join(f"x.{k}" for k in keys)
     kr = ", ".join(f"r.{k}" for k in keys)
@@ -79,15 +81,15 @@ def iter_fc(p: str, keys, label: str | None = None, unserved: str = "false") ->
     {own("CAST(fr AS BIGINT)", sea)}, {own("q30", sea)}, {own("q50", sea)}, {own("q70", sea)}
   FROM (SELECT y.*, greatest(0.0, round_even(0.6 * adj + 0.4 * coalesce(sea, adj), 0)) AS fr
     FROM (SELECT {kx}, x.h, x.win, x.Fecha, x.sea,
-        ((CASE WHEN x.r THEN {rw[0]} ELSE {nw[0]} END) * least(m7, m14)
-         + (CASE WHEN x.r THEN {rw[1]} ELSE {nw[1]} END) * m7
-         + (CASE WHEN x.r THEN {rw[2]} ELSE {nw[2]} END) * greatest(m7, m14)) * (1.0 + {C.V5_DOW_DAMPING} * (x.k - 1.0)) AS adj,
-        CAST(greatest(0.0, round_even(least(m7, m14), 0)) AS BIGINT) AS q30,
-        CAST(greatest(0.0, round_even(m7, 0)) AS BIGINT) AS q50,
-        CAST(greatest(0.0, round_even(greatest(m7, m14), 0)) AS BIGINT) AS q70
-      FROM (SELECT {kr}, s.Horizonte AS h, r.win, s.F AS Fecha, s.k, s.sea, s.r,
+        ((CASE WHEN x.r THEN {rw[0]} ELSE {nw[0]} END) * {q30}
+         + (CASE WHEN x.r THEN {rw[1]} ELSE {nw[1]} END) * {q50}
+         + (CASE WHEN x.r THEN {rw[2]} ELSE {nw[2]} END) * {q70}) * (1.0 + {C.V5_DOW_DAMPING} * (x.k - 1.0)) AS adj,
+        CAST(greatest(0.0, round_even({q30}, 0)) AS BIGINT) AS q30,
+        CAST(greatest(0.0, round_even({q50}, 0)) AS BIGINT) AS q50,
+        CAST(greatest(0.0, round_even({q70}, 0)) AS BIGINT) AS q70
+      FROM (SELECT {kr}, s.Horizonte AS h, r.win, s.F AS Fecha, s.k, s.sea, s.r,{extra}
                    list_avg(list_slice(r.win, -7, -1)) AS m7, list_avg(list_slice(r.win, -14, -1)) AS m14
-            FROM {p}rec r JOIN {p}g2 s ON {on('s', 'r', keys)} AND s.Horizonte = r.h + 1) x) y) z),
+            FROM {p}rec r JOIN {grid or p + "g2"} s ON {on('s', 'r', keys)} AND s.Horizonte = r.h + 1) x) y) z),
 {p}fc AS (SELECT {lab}Fecha, {ks}, p AS Prediccion_Tickets, q30 AS Pred_Q30, q50 AS Pred_Q50, q70 AS Pred_Q70
   FROM {p}rec WHERE h > 0)"""
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,17 +48,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
-
-    The frame is persisted first so the checkpoint write does not recompute it, and
-    released once the checkpoint files exist."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
+def landed(df: DataFrame, name: str = "landed") -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back: the lineage
+    ends there and a lost executor recomputes nothing that lies before."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._landed_at = path
     return out
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``landed`` frame that no later plan reads."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._landed_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """End a lineage in the shared folder (survives executor loss)."""
+    return landed(df, "cut")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
