@@ -9,8 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-#: distinct words whose hashes a Python worker keeps
-WORD_CACHE = 400_000
+#: distinct words whose hashes a Python worker keeps (some 16 MB), for all operators together
+WORD_CACHE = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,14 @@ class WordHashes(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint64)
 
 
+_WORDS = WordHashes()
+
+
+def word_hashes(words: list) -> np.ndarray:
+    """The hashes of some words, by the one cache that all operators of a worker share."""
+    return _WORDS.of(words)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

@@ -5,6 +5,9 @@ point. Two documents share at most the sum over the groups of the smaller count,
 sum bounds their overlap; pairs whose bound reaches the threshold are verified on their
 shingle sets.
 
+The number of groups grows with the set, so that the bound tells long texts apart as well; of two
+points the finer one is folded onto the coarser.
+
 A tree over all points cannot prune on its own: points of equally long texts lie around
 one centre, closer than the threshold along any single coordinate. So the points are dealt
 first by their rarest shingles: of a set of n, the first n - ceil(0.8 n) + 1 in one global
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import WordHashes, as_bytes, discard, mix, signed, windows, written
+from faultline.llm.common import as_bytes, discard, mix, signed, windows, word_hashes, written
 from faultline.llm.encode import slices
 
 SHINGLE = 5
@@ -47,21 +50,19 @@ SKETCH = 1 << 20
 SKETCH_CHUNKS = 64
 #: points of a tree node
 NODE = 512
+#: groups of the smallest sets; larger ones have more, in proportion
 GROUPS = 64
 #: points of many small buckets that one search task takes together
 TASK_POINTS = 40_000
 
-_WORDS: list = []
 
 
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's k-word shingles."""
-    if not _WORDS:
-        _WORDS.append(WordHashes())
     words = text.lower().split()  # on bytes: A-Z only, and ASCII white space
     if not words:
         return np.empty(0, np.uint64)
-    hashes = _WORDS[0].of(words)
+    hashes = word_hashes(words)
     return np.unique(windows(hashes, min(k, len(words))) + np.uint64(max(0, k - len(words))))
 
 
@@ -70,12 +71,32 @@ def least_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -(-(PERCENT * (a + b)) // (100 + PERCENT))
 
 
+def grade(n: np.ndarray) -> np.ndarray:
+    """log2 of the number of groups of sets of these sizes: one group for some 8 to 16 shingles, so that
+    the counts tell long texts apart as well as short ones. Sets that can link differ by one grade at most."""
+    return np.maximum(GROUPS.bit_length() - 1, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) - 3)
+
+
+def point(s: np.ndarray) -> np.ndarray:
+    """Counts per group of a set."""
+    groups = 1 << int(grade(np.array([len(s)]))[0])
+    return np.bincount(((s >> np.uint64(32)) & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint32)
+
+
+def folded(at: np.ndarray) -> np.ndarray:
+    """Points of the next lower grade: two groups become one."""
+    half = at.shape[1] // 2
+    return at[:, :half] + at[:, half:]
+
+
 def points(sets: list) -> np.ndarray:
-    """Counts per group of each set, one row a set."""
-    out = np.zeros((len(sets), GROUPS), np.uint32)
-    for i, s in enumerate(sets):
-        out[i] = np.bincount((s >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return out
+    """Points of some sets, one row each, in the groups of the smallest."""
+    rows = [point(s)[None, :] for s in sets]
+    least = min((r.shape[1] for r in rows), default=GROUPS)
+    for i in range(len(rows)):
+        while rows[i].shape[1] > least:
+            rows[i] = folded(rows[i])
+    return np.concatenate(rows) if rows else np.zeros((0, GROUPS), np.uint32)
 
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
@@ -212,22 +233,39 @@ def _tree_pairs(buckets: DataFrame, texts: DataFrame) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            rows = points([shingle_set(t) for t in as_bytes(batch.column("text"))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "point"])
+            texts_ = as_bytes(batch.column("text"))
+            for a, b in slices([len(t) for t in texts_], 4 << 20):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array([point(shingle_set(t)).tobytes() for t in texts_[a:b]], pa.binary())], names=["doc_id", "point"])
 
     vectors = written(texts.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
         pack, "doc_id long, point binary"), "points")
 
     def search(table):
         token, u, v, node, ids, n, label = (table.column(c).to_numpy() for c in ("token", "u", "v", "node", "doc_id", "n", "label"))
-        at = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int32)
+        grades, packed = grade(n), table.column("point").to_pylist()
+
+        def counts(some, g):
+            return np.frombuffer(b"".join(packed[i] for i in some), np.uint32).reshape(len(some), 1 << g).astype(np.int32)
+
         order = np.lexsort((v, u, token))
         new = np.flatnonzero((np.diff(token[order]) != 0) | (np.diff(u[order]) != 0) | (np.diff(v[order]) != 0)) + 1
         found = []
         for rows in np.split(order, new):
             one, two = u[rows[0]], v[rows[0]]
-            right = rows[node[rows] == two] if one != two else None
-            found += _open(rows[node[rows] == one], right, at, n, label)
+            for g in np.unique(grades[rows]).tolist():  # within a grade, and with the next higher one
+                same, above = rows[grades[rows] == g], rows[grades[rows] == g + 1]
+                own = np.concatenate((same, above))
+                at = counts(same, g)
+                if len(above):
+                    at = np.concatenate((at, folded(counts(above, g + 1))))
+                first, second = node[own] == one, node[own] == two
+                low = np.arange(len(own)) < len(same)
+                ways = [(first & low, second & low if one != two else None)]
+                if len(above):
+                    ways += [(first & low, second & ~low)] + ([(second & low, first & ~low)] if one != two else [])
+                for left, right in ways:
+                    got = _open(np.flatnonzero(left), None if right is None else np.flatnonzero(right), at, n[own], label[own])
+                    found += [(own[x], own[y]) for x, y in got]
         x = np.concatenate([np.empty(0, np.int64)] + [f[0] for f in found])
         y = np.concatenate([np.empty(0, np.int64)] + [f[1] for f in found])
         pairs = np.unique(np.stack((np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y]))), axis=1)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.llm.common import WordHashes, as_bytes, windows, written
+from faultline.llm.common import as_bytes, windows, word_hashes, written
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -40,13 +40,10 @@ _SYMBOLS = re.compile(rb"[#*$%&|<>]")
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _MEASURES = pa.schema([(c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_echo_words")])
 COUNTS = _MEASURES.names
-_WORDS: list = []
 
 
 def count_text(text: bytes) -> tuple:
     """The counts of one text, in the order of COUNTS."""
-    if not _WORDS:
-        _WORDS.append(WordHashes())
     words = text.split()
     n = len(words)
     if not n:
@@ -54,7 +51,7 @@ def count_text(text: bytes) -> tuple:
     joined = b"".join(words)
     chars = len(joined.translate(None, _CONTINUATION))
     lines = [x for x in text.split(b"\n") if x.strip()]  # on bytes: ASCII white space
-    hashes = _WORDS[0].of(words)
+    hashes = word_hashes(words)
     repeats = 0
     if n > WINDOW:
         w = windows(hashes, WINDOW)

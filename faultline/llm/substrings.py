@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import WordHashes, as_bytes, discard, mix, signed, windows, written
+from faultline.llm.common import as_bytes, discard, mix, signed, windows, word_hashes, written
 
 LENGTH = 50
 SEED = 8
@@ -40,13 +40,10 @@ SUBTREE = 2000
 TASK_CLASSES = 20_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_WORDS: list = []
 
 
 def _hashes(words: list) -> np.ndarray:
-    if not _WORDS:
-        _WORDS.append(WordHashes())
-    return mix(_WORDS[0].of(words))
+    return mix(word_hashes(words))
 
 
 def anchors(hashes: np.ndarray, length: int = LENGTH, seed: int = SEED) -> np.ndarray:
