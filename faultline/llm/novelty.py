@@ -8,7 +8,7 @@ prefix. Words, paths, repeated placeholders and names met elsewhere cost next to
 nearly their whole entropy. A candidate is reported if it costs ``COST`` of its length in bytes or more.
 
 The dictionary is made of the identifiers of the whole corpus that most documents hold (a
-map-side count, then Spark's aggregate), as many as fill ``DICTIONARY`` bytes: the one thing collected, of
+map-side count, then Spark's aggregate), as many as fill some ``DICTIONARY`` bytes: the one thing collected, of
 fixed size. The scan itself is one pass without a shuffle.
 
 Cases: null and empty texts have no spans; very long texts are scanned whole; overlapping spans of
@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultline.llm.common import written
 from faultline.llm.encode import slices
 
 #: base patterns, fixed by contract: kind, whole pattern, group that is measured, its least length
@@ -74,15 +75,23 @@ def identifiers(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> bytes:
-    """The identifiers of most documents, the commonest last (nearest to the text), in ``size`` bytes."""
-    top = identifiers(docs).where("n > 1").orderBy(F.desc("n"), "word").limit(size // (LEAST + 1)).collect()  # a bounded model
-    kept, used = [], 0
-    for row in top:
-        used += len(row["word"]) + 1
-        if used > size:
+    """The identifiers of most documents, the commonest last (nearest to the text), in about ``size``
+    bytes. A histogram of the counts tells which words fill it, so no more than those are collected:
+    whole steps of the histogram, and of the last one a share by the words' hashes."""
+    words = written(identifiers(docs).where("n > 1").withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "identifiers")
+    steps = words.groupBy("step").agg(F.sum(F.length("word") + 1).alias("bytes")).orderBy(F.desc("step")).collect()  # some 8 * 64 rows at most
+    low, share, left = None, 0, size
+    for row in steps:
+        low = row["step"]
+        share = 1024 if row["bytes"] <= left else 1024 * left // row["bytes"]
+        left -= row["bytes"]
+        if left <= 0:
             break
-        kept.append(row["word"])
-    return " ".join(reversed(kept)).encode()
+    if low is None:
+        return b""
+    last = (F.col("step") == low) & (F.pmod(F.xxhash64("word"), F.lit(1024)) < share)
+    top = words.where((F.col("step") > low) | last).orderBy("n", F.desc("word")).select("word").collect()
+    return " ".join(r["word"] for r in top).encode()
 
 
 class Novelty:

@@ -156,6 +156,16 @@ def test_novelty_knows_the_dictionary():
     assert known.cost("auth: ", "payment_gateway_client") < 0.4 * 22 < 0.8 * 20 < known.cost("auth: ", "q8Zr1LxV0pTn5YwKc3Hd")
 
 
+def test_dictionary_is_bounded_and_holds_the_commonest(spark):
+    words = ["".join(np.random.default_rng(i).choice(list("abcdefghij"), 8)) for i in range(400)]
+    rows = [(d, " ".join(words[:400 - 8 * d])) for d in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = novelty.dictionary(docs, 900).decode().split()
+    assert 40 <= len(found) <= 120 and sum(len(w) + 1 for w in found) <= 1100
+    assert found[-1] in words[:8] and set(found) <= set(words)
+    assert novelty.dictionary(docs, 900) == novelty.dictionary(docs.repartition(7), 900)
+
+
 def test_long_patterns_equal_contract():
     rng = np.random.default_rng(3)
     parts = ["AKIA", "token", "=", ":", "api_key", "\"", " ", "a", "0", "Z", "abcdef0123", "ABCD1234", "secret", ".", "\n", "é"]
