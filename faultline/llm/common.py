@@ -9,8 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-#: distinct words whose hashes a Python worker keeps (some 16 MB), for all operators together
-WORD_CACHE = 100_000
+#: distinct words whose hashes a Python worker keeps (some 30 MB), for all operators together
+WORD_CACHE = 200_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

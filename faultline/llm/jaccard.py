@@ -99,39 +99,41 @@ def points(sets: list) -> np.ndarray:
     return np.concatenate(rows) if rows else np.zeros((0, GROUPS), np.uint32)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
 
 
 def _digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and a 128-bit digest of the set."""
+    """One pass over the texts: doc_id, n_shingles and a 128-bit digest of every set, and (in rows with a
+    chunk) each task's own counts of how many documents the ``SKETCH`` shingle classes occur in."""
+    size = SKETCH // SKETCH_CHUNKS
 
     def digest(batches):
+        own = np.zeros(SKETCH, np.int64)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))
             n, d1, d2 = [], [], []
-            for t in texts:
-                s = shingle_set(t)
-                n.append(len(s))
-                d1.append(int(signed(mix(s).sum(dtype=np.uint64).reshape(1))[0]) if len(s) else 0)
-                d2.append(int(signed(mix(s * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).reshape(1))[0]) if len(s) else 0)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], schema=_SETS)
-
-    return docs.mapInArrow(digest, "doc_id long, n_shingles long, d1 long, d2 long")
-
-
-def _sketch(docs: DataFrame) -> np.ndarray:
-    """How many documents each of ``SKETCH`` shingle classes occurs in. Every task sums its
-    own, so what is shuffled and collected has a fixed size a task and in all."""
-    size = SKETCH // SKETCH_CHUNKS
-
-    def count(batches):
-        own = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            texts = as_bytes(batch.column("text"))
             for a, b in slices([len(t) for t in texts], 8 << 20):
-                tokens = np.concatenate([shingle_set(t) for t in texts[a:b]])
-                own += np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_CHUNKS), pa.int32()), pa.array([c.astype("<i8").tobytes() for c in own.reshape(SKETCH_CHUNKS, size)])], names=["chunk", "counts"])
+                sets = [shingle_set(t) for t in texts[a:b]]
+                for s in sets:
+                    n.append(len(s))
+                    d1.append(int(signed(mix(s).sum(dtype=np.uint64).reshape(1))[0]) if len(s) else 0)
+                    d2.append(int(signed(mix(s * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64).reshape(1))[0]) if len(s) else 0)
+                own += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            none = pa.nulls(len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                                              none.cast(pa.int32()), none.cast(pa.binary())], schema=_SETS)
+        some = [c for c in range(SKETCH_CHUNKS) if own[c * size:(c + 1) * size].any()]
+        none = pa.nulls(len(some)).cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()),
+                                          pa.array([own[c * size:(c + 1) * size].astype("<i8").tobytes() for c in some], pa.binary())], schema=_SETS)
+
+    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n_shingles long, d1 long, d2 long, chunk int, counts binary")
+
+
+def _sketch(parts: DataFrame) -> np.ndarray:
+    """How many documents each shingle class occurs in, from the tasks' counts: what is shuffled
+    and collected has a fixed size a task and in all."""
+    size = SKETCH // SKETCH_CHUNKS
 
     def add(batches):
         total = np.zeros((SKETCH_CHUNKS, size), np.int64)
@@ -142,7 +144,7 @@ def _sketch(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([total[c].tobytes() for c in some], pa.binary())], names=["chunk", "counts"])
 
     ddl = "chunk int, counts binary"
-    summed = docs.select("text").mapInArrow(count, ddl).repartition(SKETCH_CHUNKS, "chunk").mapInArrow(add, ddl)
+    summed = parts.where("chunk IS NOT NULL").select("chunk", "counts").repartition(SKETCH_CHUNKS, "chunk").mapInArrow(add, ddl)
     out = np.zeros((SKETCH_CHUNKS, size), np.int64)
     for row in summed.collect():  # SKETCH counters
         out[row.chunk] = np.frombuffer(row.counts, "<i8")
@@ -326,16 +328,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links, itself
     included) of every document of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL")
-    sets = written(_digests(docs), "sets")
+    found = written(_digests(docs), "sets")
+    sets = found.where("chunk IS NULL").drop("chunk", "counts")
     if not sets.groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = written(docs.groupBy("doc_id").agg(F.min("text").alias("text")), "single")
-        sets = written(_digests(docs), "sets")
+        found = written(_digests(docs), "sets")
+        sets = found.where("chunk IS NULL").drop("chunk", "counts")
     # copies: one representative a set, the smallest doc_id
     classes = sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")
     sizes = classes.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"))
     texts = docs.join(sizes.select(F.col("b").alias("doc_id")), "doc_id", "left_semi")
-    rows = written(_prefixes(texts, _sketch(docs)), "prefixes")
+    rows = written(_prefixes(texts, _sketch(found)), "prefixes")
     buckets = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")).where("size > 1")
     shared = written(rows.join(buckets, "token"), "shared")
     discard(rows)
@@ -348,8 +352,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = shared.where("size > 2 AND doc_id != first").select("token", "doc_id", "n", "size").join(
         known.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("token", "doc_id", "n", "size", F.coalesce("label", "doc_id").alias("label"))
     several = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
-    found = _tree_pairs(written(named.join(several, "token"), "buckets"), texts)
-    final = components(first_links.unionByName(_verified(found, texts)))
+    near = _tree_pairs(written(named.join(several, "token"), "buckets"), texts)
+    final = components(first_links.unionByName(_verified(near, texts)))
     # 3: back to all documents
     named = classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "d1", "d2", F.coalesce("label", "rep").alias("component_id"))
     return sets.join(named, ["n_shingles", "d1", "d2"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
