@@ -109,3 +109,22 @@ def backcast_cutoffs(spark: SparkSession, cutoffs_days) -> DataFrame:
     """Fixed (cutoff, horizon days) pairs as a small table."""
     rows = [(dt.date.fromisoformat(c) if isinstance(c, str) else c, int(d)) for c, d in cutoffs_days]
     return spark.createDataFrame(rows, "Corte date, Dias int")
+
+
+#: hash buckets in which rows are ranked; a class is never one task
+RANK_BUCKETS = 4096
+
+
+def stratified_folds(df: DataFrame, key_cols, k: int, label: str, seed: int = 42) -> DataFrame:
+    """M5: exactly stratified folds: every class's rows are numbered in the order of their key's hash and dealt
+    in turn, so a class's fold sizes differ by one at most. The number of a row is the count of its class in
+    earlier hash buckets (one row a bucket) and its place within its own bucket."""
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
+    rows = df.withColumns({"_hash": digest, "_bucket": F.pmod(F.conv(F.substring(digest, 1, 3), 16, 10).cast("int"), F.lit(RANK_BUCKETS))})
+    counts = rows.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(label).orderBy("_bucket")) - F.col("_n"))
+    before = before.select(F.col(label).alias("_label"), F.col("_bucket").alias("_at"), "_before")
+    own = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash", *key_cols)) - 1
+    ranked = rows.withColumn("_own", own).join(before, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_bucket") == F.col("_at")))
+    return ranked.withColumn("fold", F.pmod(F.col("_before") + F.col("_own"), F.lit(k)).cast("int")).drop(
+        "_hash", "_bucket", "_label", "_at", "_before", "_own")

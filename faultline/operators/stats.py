@@ -50,3 +50,23 @@ def target_encoding(df: DataFrame, y: str = "Tickets_Total", k: float = C.TARGET
 def add_calendar(df: DataFrame, date_col: str = "Fecha") -> DataFrame:
     """P18 flags for every row."""
     return df.withColumns(calendar_columns(date_col))
+
+
+def out_of_fold_encoding(df: DataFrame, cats, label: str, fold: str = "fold", least: float = 20.0, slope: float = 10.0) -> DataFrame:
+    """M3: adds ``<cat>_te`` for each category column: the label's mean over the category's rows of all other
+    folds, blended with those folds' overall mean by the weight 1 / (1 + exp(-(n - least) / slope)). Sums of a
+    category and of a fold come from one aggregate of (category, fold) rows; own sums are taken off the
+    totals, so no row is encoded by its own label. A category met in its own fold only gets the prior."""
+    out = df
+    for c in cats:
+        part = df.groupBy(F.col(c).alias("_cat"), F.col(fold).alias("_fold")).agg(F.sum(label).cast("double").alias("_s"), F.count(label).alias("_n"))
+        whole = Window.partitionBy("_cat")
+        totals = part.groupBy("_fold").agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
+        every = totals.agg(F.sum("_fs").alias("_as"), F.sum("_fn").alias("_an"))
+        prior = totals.crossJoin(F.broadcast(every)).select("_fold", ((F.col("_as") - F.col("_fs")) / F.nullif(F.col("_an") - F.col("_fn"), F.lit(0))).alias("_prior"))
+        rest = part.withColumns({"_rs": F.sum("_s").over(whole) - F.col("_s"), "_rn": F.sum("_n").over(whole) - F.col("_n")}).join(prior, "_fold")
+        weight = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("_rn") - F.lit(least)) / F.lit(slope)))
+        value = F.when(F.col("_rn") > 0, F.col("_prior") * (F.lit(1.0) - weight) + F.col("_rs") / F.col("_rn") * weight).otherwise(F.col("_prior"))
+        rest = rest.select("_cat", "_fold", value.alias(f"{c}_te"))
+        out = out.join(rest, F.col(c).eqNullSafe(F.col("_cat")) & F.col(fold).eqNullSafe(F.col("_fold")), "left").drop("_cat", "_fold")
+    return out

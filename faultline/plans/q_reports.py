@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from faultline import config as C
-from faultline.operators import reports, splits
+from faultline.operators import stats, reports, splits
 from faultline.plans import derived as D
 from faultline.plans import sqlparts as S
 from faultline.plans.q_forecast import holdout
@@ -291,3 +291,37 @@ def hashed_fold_sizes(t):
     """M5: seeded hash folds by the event id, stratified by the SLA label."""
     return splits.hashed_folds(D.sla_with_id(t), ["event_id"], 3, label="Target") \
         .groupBy("Target", "fold").agg(F.count(F.lit(1)).alias("Filas"))
+
+
+FOLDS_SQL = W + S.TICKETS + """,
+lab AS (SELECT event_id, Prioridad, Nodo AS CENTRAL, CAST(epoch_us(Fecha_Solucion - Fecha_Creacion) / 60e6 > 480 AS INTEGER) AS Target
+        FROM tk WHERE Fecha_Solucion IS NOT NULL),
+folds AS (SELECT *, CAST((row_number() OVER (PARTITION BY Target ORDER BY md5(event_id || '|42'), event_id) - 1) % 3 AS INTEGER) AS fold FROM lab)"""
+
+
+def labelled_folds(t):
+    return t.memo("labelled_folds", lambda: splits.stratified_folds(D.sla_with_id(t), ["event_id"], 3, "Target"))
+
+
+@query("stratified_folds", FOLDS_SQL + " SELECT event_id, Target, fold FROM folds")
+def stratified_folds(t):
+    """M5: exactly stratified folds, the fold of every ticket."""
+    return labelled_folds(t).select("event_id", "Target", "fold")
+
+
+def _encoding_sql(c: str) -> str:
+    return f"""
+p_{c} AS (SELECT {c}, fold, CAST(sum(Target) AS DOUBLE) AS s, count(Target) AS n FROM folds GROUP BY ALL),
+r_{c} AS (SELECT p.{c}, p.fold, r.prior, sum(s) OVER w - s AS rs, sum(n) OVER w - n AS rn FROM p_{c} p JOIN prior r ON r.fold = p.fold WINDOW w AS (PARTITION BY p.{c})),
+e_{c} AS (SELECT {c}, fold, CASE WHEN rn > 0 THEN prior * (1.0 - 1.0 / (1.0 + exp(-(rn - 20.0) / 10.0))) + rs / rn * (1.0 / (1.0 + exp(-(rn - 20.0) / 10.0))) ELSE prior END AS te FROM r_{c})"""
+
+
+@query("out_of_fold_encoding", FOLDS_SQL + """,
+prior AS (SELECT f.fold, CAST(sum(x.Target) AS DOUBLE) / count(x.Target) AS prior FROM (SELECT DISTINCT fold FROM folds) f JOIN folds x ON x.fold <> f.fold GROUP BY f.fold),"""
+       + _encoding_sql("Prioridad") + "," + _encoding_sql("CENTRAL") + """
+SELECT f.event_id, f.fold, a.te AS Prioridad_te, b.te AS CENTRAL_te FROM folds f
+LEFT JOIN e_Prioridad a ON a.Prioridad IS NOT DISTINCT FROM f.Prioridad AND a.fold = f.fold
+LEFT JOIN e_CENTRAL b ON b.CENTRAL IS NOT DISTINCT FROM f.CENTRAL AND b.fold = f.fold""")
+def out_of_fold_encoding(t):
+    """M3: sigmoid-blended target encodings, each row's without its own fold."""
+    return stats.out_of_fold_encoding(labelled_folds(t), ["Prioridad", "CENTRAL"], "Target").select("event_id", "fold", "Prioridad_te", "CENTRAL_te")
