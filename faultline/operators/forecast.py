@@ -39,20 +39,34 @@ def latest_origin(panel: DataFrame, min_history: int, y: str = "Tickets_Total",
                     "Media_Movil_7d_origin", "Media_Movil_14d_origin", "_win"))
 
 
-def future_grid(origin: DataFrame, days: int, start_col: str = "origen") -> DataFrame:
-    """Series x horizon 1..days future rows with calendar features."""
+def origins_at(panel: DataFrame, cutoffs, y: str = "Tickets_Total", keep_last: int = 14) -> DataFrame:
+    """W10 at many cutoffs in one scan: for each (Split, Corte) of the list ``cutoffs`` and each series its last row
+    on or before Corte, as ``latest_origin`` gives it, with Split and _n, the number of its rows up to there.
+    A row is the origin of the cutoffs that lie before the series' next row, so no row is copied per cutoff."""
+    w = Window.partitionBy(*KEY).orderBy("Fecha")
+    rows = origin_features(panel.select(*KEY, "Fecha", y), y).withColumns({
+        "_win": F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(-(keep_last - 1), 0)), "_next": F.lead("Fecha").over(w)})
+    splits = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(c).cast("date").alias("c")) for s, c in cutoffs])
+    due = F.filter(splits, lambda x: (F.col("Fecha") <= x["c"]) & (F.col("_next").isNull() | (x["c"] < F.col("_next"))))
+    return rows.where(F.size(due) > 0).select(
+        F.explode(due).alias("_at"), *KEY, F.col("Fecha").alias("origen"), "Lag_1_origin", "Lag_7_origin", "Media_Movil_7d_origin",
+        "Media_Movil_14d_origin", "_win", (F.col("_idx") + 1).alias("_n")).select(F.col("_at.s").alias("Split"), "*").drop("_at")
+
+
+def future_grid(origin: DataFrame, days, start_col: str = "origen") -> DataFrame:
+    """Series x horizon 1..days future rows with calendar features; ``days`` may be a column."""
     g = origin.withColumn("Horizonte", F.explode(F.sequence(F.lit(1), F.lit(days))))
     g = g.withColumn("Fecha", F.date_add(start_col, F.col("Horizonte")))
     g = g.withColumns({"Dia_Semana": F.weekday("Fecha"), "Mes": F.month("Fecha")})
     return g.withColumns(calendar_columns("Fecha"))
 
 
-def attach_stats(grid: DataFrame, seasonal: DataFrame, factors: DataFrame) -> DataFrame:
+def attach_stats(grid: DataFrame, seasonal: DataFrame, factors: DataFrame, keys=tuple(KEY)) -> DataFrame:
     """Seasonal mean and weekday factor by (Zona, Nodo, weekday); both are at most
     7 rows per series and are joined by key (AQE broadcasts them when small)."""
     g = grid.withColumn("dow", F.weekday("Fecha"))
-    return (g.join(seasonal, KEY + ["dow"], "left")
-            .join(factors, KEY + ["dow"], "left")
+    return (g.join(seasonal, [*keys, "dow"], "left")
+            .join(factors, [*keys, "dow"], "left")
             .withColumn("dow_factor", F.coalesce("dow_factor", F.lit(1.0))))
 
 
@@ -84,20 +98,23 @@ def mark_served(grid: DataFrame, served: DataFrame | None) -> DataFrame:
     return grid.join(own, KEY, "left").fillna(False, subset=["_served"])
 
 
-def forecast_direct(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days: int,
+def forecast_direct(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days,
                     predictor=trailing_mean_predictor, min_history: int = C.V4_MIN_HISTORY,
                     damping: float = C.V4_DOW_DAMPING, weather: DataFrame | None = None,
-                    pred_col: str = "_p", served: DataFrame | None = None) -> DataFrame:
+                    pred_col: str = "_p", served: DataFrame | None = None,
+                    origins: DataFrame | None = None, keys=tuple(KEY)) -> DataFrame:
     """M10 (V4) / M14 (V5 direct, with min_history=14, damping=0.35, pred_col='_p50').
-    Series outside ``served`` take their seasonal mean (0 without one) as the prediction."""
-    grid = future_grid(latest_origin(panel, min_history), days)
+    Series outside ``served`` take their seasonal mean (0 without one) as the prediction. With ``origins``
+    (``origins_at``) and statistics keyed by ``keys``, several cutoffs are forecast at once."""
+    origin = latest_origin(panel, min_history) if origins is None else origins.where(F.col("_n") >= min_history)
+    grid = future_grid(origin, days)
     if weather is not None:
         from faultline.operators.weather import lookup_weather
         grid = lookup_weather(grid, weather)
-    g = mark_served(predictor(attach_stats(grid, seasonal, factors)), served)
+    g = mark_served(predictor(attach_stats(grid, seasonal, factors, keys)), served)
     p = F.coalesce(F.when(F.col("_served"), F.col(pred_col)), "seasonal", F.lit(0.0))
     final = blend(p, F.col("dow_factor"), F.col("seasonal"), damping)
-    return g.select("Fecha", *KEY, nonneg_round(final).alias("Prediccion_Tickets"))
+    return g.select("Fecha", *keys, nonneg_round(final).alias("Prediccion_Tickets"))
 
 
 def forecast_v4(panel, seasonal, factors, days, predictor=trailing_mean_predictor, weather=None, served=None):
@@ -121,38 +138,39 @@ def _avg(arr):
     return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.size(arr)
 
 
-def _steps(grid: DataFrame, fields) -> DataFrame:
+def _steps(grid: DataFrame, fields, keys=tuple(KEY)) -> DataFrame:
     """Per series: its future steps as an array ordered by horizon (<= days items)."""
-    return grid.groupBy(*KEY).agg(
+    return grid.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("_steps"))
 
 
 def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFrame, days: int,
                           weather: DataFrame | None = None,
-                          damping: float = C.V5_DOW_DAMPING, served: DataFrame | None = None, model=None) -> DataFrame:
+                          damping: float = C.V5_DOW_DAMPING, served: DataFrame | None = None, model=None,
+                          origins: DataFrame | None = None, keys=tuple(KEY)) -> DataFrame:
     """M12 + M13: each day's rounded forecast feeds the next day's lags and means. ``model`` is a
     trained predictor (``v5.Recursion``), None the stand-in. Series outside ``served`` get their seasonal mean
-    (0 without one) as forecast and quantiles, which feeds on unrounded.
+    (0 without one) as forecast and quantiles, which feeds on unrounded. ``origins`` and ``keys`` as in ``forecast_direct``.
 
     Sequential in days, parallel in series: the whole recursion runs inside one
     ``aggregate`` over each series' step array, whose state is the last 14 values
     (bounded), so there is no driver loop and no per-series job."""
-    origin = latest_origin(panel, C.V5_MIN_HISTORY)
+    origin = latest_origin(panel, C.V5_MIN_HISTORY) if origins is None else origins.where(F.col("_n") >= C.V5_MIN_HISTORY)
     grid = future_grid(origin, days)
     if weather is not None:
         from faultline.operators.weather import lookup_weather
         grid = lookup_weather(grid, weather)
     else:
         grid = grid.withColumn("es_lluvia_fuerte", F.lit(0))
-    grid = mark_served(attach_stats(grid, seasonal, factors), served)
+    grid = mark_served(attach_stats(grid, seasonal, factors, keys), served)
     if model is not None:
         grid = model.grid(grid)
     risky = ((F.col("es_lluvia_fuerte") == 1) | (F.col("es_quincena") == 1)
              | (F.col("es_lunes") == 1))
     steps = _steps(grid, [F.col("Horizonte").alias("h"), F.col("Fecha").alias("f"),
                           F.col("dow_factor").alias("k"), F.col("seasonal").alias("s"),
-                          risky.alias("r"), F.col("_served").alias("m"), *[F.col(c) for c in (model.fields if model else ())]])
-    state0 = origin.select(*KEY, "_win").join(steps, KEY)
+                          risky.alias("r"), F.col("_served").alias("m"), *[F.col(c) for c in (model.fields if model else ())]], keys)
+    state0 = origin.select(*keys, "_win").join(steps, list(keys))
     if model is not None:
         state0 = model.state(state0)
     out_t = "array<struct<Fecha:date,Prediccion_Tickets:bigint,Pred_Q30:bigint,Pred_Q50:bigint,Pred_Q70:bigint>>"
@@ -181,8 +199,8 @@ def forecast_v5_iterative(panel: DataFrame, seasonal: DataFrame, factors: DataFr
         return bound(bound(found, rounded), row)
 
     init = F.struct(F.col("_win").alias("win"), F.array().cast(out_t).alias("out"))
-    res = state0.select(*KEY, F.aggregate("_steps", init, step, lambda acc: acc["out"]).alias("_o"))
-    return res.select(*KEY, F.inline("_o")).select(*V5_COLUMNS)
+    res = state0.select(*keys, F.aggregate("_steps", init, step, lambda acc: acc["out"]).alias("_o"))
+    return res.select(*keys, F.inline("_o")).select(*[k for k in keys if k not in V5_COLUMNS], *V5_COLUMNS)
 
 
 def forecast_v1_recursive(panel: DataFrame, days: int, y: str = "Tickets_Total", model=None) -> DataFrame:

@@ -147,21 +147,6 @@ def score_tickets(model: PipelineModel, tickets: DataFrame) -> DataFrame:
     return p.select(*keep, pct.alias("Riesgo_Pct")).withColumn("Nivel", sla_risk_tier("Riesgo_Pct"))
 
 
-def weekly_autoregression(zone_windows: DataFrame, train_frac_col: str = "Particion"):
-    """M18 (re-aimed): one linear model over the 7 scaled lags, with the zone as a
-    one-hot input, trained on each zone's chronological 85 % (W8). Returns
-    (model, held-out predictions in ticket units)."""
-    from pyspark.ml.feature import OneHotEncoder
-    lags = [f"x{k}" for k in range(1, 8)]
-    stages = [StringIndexer(inputCol="Zona", outputCol="_zi"),
-              OneHotEncoder(inputCol="_zi", outputCol="_zo"),
-              VectorAssembler(inputCols=lags + ["_zo"], outputCol="_x"),
-              LinearRegression(featuresCol="_x", labelCol="Escalado", regParam=0.0)]
-    train = zone_windows.filter(F.col(train_frac_col) == "train")
-    model = Pipeline(stages=stages).fit(train)
-    return model, model.transform(zone_windows.filter(F.col(train_frac_col) == "test"))
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     """ML writer (overwrite)."""
     model.write().overwrite().save(path)

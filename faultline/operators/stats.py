@@ -30,6 +30,32 @@ def dow_factors(df: DataFrame, y: str = "Tickets_Total") -> DataFrame:
                     .otherwise(F.lit(1.0)).alias("dow_factor")))
 
 
+def stats_at(panel: DataFrame, cutoffs, y: str = "Tickets_Total") -> tuple[DataFrame, DataFrame]:
+    """D5 and D6 as of many cutoffs, from one aggregation: (seasonal means, weekday factors), both keyed by Split too.
+    ``cutoffs``: (Split, Corte) pairs; a cutoff's training rows are those on or before Corte. Every row is summed
+    once, into the first cutoff that covers it, and a running sum over the cutoffs of a (series, weekday) gives the
+    statistics; a cutoff without rows of its own is filled up first, so each has every earlier weekday."""
+    order = sorted(cutoffs, key=lambda x: x[1])
+    steps = F.array(*[F.lit(c).cast("date") for _, c in order])
+    first = F.size(F.filter(steps, lambda c: c < F.col("Fecha")))  # the number of cutoffs that end before the row
+    own = panel.withColumn("_at", first).where(F.col("_at") < len(order)).groupBy(*KEY, F.weekday("Fecha").alias("dow"), "_at").agg(
+        F.sum(y).alias("_s"), F.count(y).alias("_c"))
+    each = own.groupBy(*KEY, "dow").agg(F.collect_list(F.struct("_at", "_s", "_c")).alias("_parts"), F.min("_at").alias("_from"))
+    upto = each.withColumn("_k", F.explode(F.sequence(F.col("_from"), F.lit(len(order) - 1))))
+
+    def total(field, kind):
+        seen = F.filter("_parts", lambda p: p["_at"] <= F.col("_k"))
+        return F.aggregate(seen, F.lit(0).cast(kind), lambda acc, p: acc + F.coalesce(p[field], F.lit(0)).cast(kind))
+
+    kind = own.schema["_s"].dataType.simpleString()
+    names = F.array(*[F.lit(s) for s, _ in order])
+    by = upto.select(F.get(names, F.col("_k")).alias("Split"), *KEY, "dow", total("_s", kind).alias("_s"), total("_c", "long").alias("_c"))
+    w = Window.partitionBy("Split", *KEY)
+    overall, mean_d = F.sum("_s").over(w) / F.sum("_c").over(w), F.col("_s") / F.col("_c")
+    factors = by.withColumn("_all", overall).select("Split", *KEY, "dow", F.when(F.col("_all") > 0, mean_d / F.col("_all")).otherwise(F.lit(1.0)).alias("dow_factor"))
+    return by.select("Split", *KEY, "dow", mean_d.alias("seasonal")), factors
+
+
 def global_mean(df: DataFrame, y: str = "Tickets_Total") -> float:
     """Driver scalar: the mean of y over all rows."""
     return df.agg(F.avg(y)).first()[0]

@@ -1,12 +1,14 @@
 """Weather dimension: flags (P20), 3-day rain (W4), climatology (D12), lookup with
-fallbacks (J8), coverage check (S4), payload parsing (S5), keep-first union (U1/W11)."""
+fallbacks (J8), coverage and holes of a store and its update (S4), payload parsing (S5), keep-first union (U1/W11)."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline import config as C
 from faultline.functions import weather_flags
+from faultline.session import discard, landed
 
 MEASURES = ["precipitacion_mm", "temp_max", "viento_max_kmh"]
 FEATURES = ["precipitacion_mm", "temp_max", "viento_max_kmh", "es_lluvia_fuerte", "es_lluvia",
@@ -77,17 +79,57 @@ def coverage(weather: DataFrame, start, end, zones=None) -> DataFrame:
                         & (F.col("hasta") >= F.lit(end).cast("date"))))
 
 
+def missing_intervals(weather: DataFrame, start, end, zones=None) -> DataFrame:
+    """Zona, desde, hasta, dias of every maximal run of days in [start, end] that the store lacks, one
+    row a run; a zone without rows lacks the whole range. ``zones``: names, or a table with a column Zona (None:
+    the zones of the store). A zone's distinct days stand between two sentinels, the days beside the range, and each
+    step of more than one day is a hole; a range that ends before it starts has none."""
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    if zones is None:
+        zones = weather.select("Zona").distinct()
+    elif not isinstance(zones, DataFrame):
+        zones = weather.sparkSession.createDataFrame([(z,) for z in sorted(set(zones))], "Zona string")
+    edges = zones.select("Zona", F.explode(F.array(F.date_sub(lo, 1), F.date_add(hi, 1))).alias("Fecha"))
+    own = weather.join(zones.select("Zona"), "Zona", "left_semi").where(F.col("Fecha").between(lo, hi)).select("Zona", "Fecha")
+    days = own.unionByName(edges).distinct()
+    before = F.lag("Fecha").over(Window.partitionBy("Zona").orderBy("Fecha"))
+    steps = days.withColumn("_before", before).where(F.datediff("Fecha", "_before") > 1)
+    return steps.where(lo <= hi).select("Zona", F.date_add("_before", 1).alias("desde"), F.date_sub("Fecha", 1).alias("hasta"),
+                        (F.datediff("Fecha", "_before") - 1).alias("dias"))
+
+
 def read_stored_weather(weather: DataFrame, start, end, zones=None):
-    """Return the stored rows of [start, end] for the zones it fully covers, and
-    the list of zones it does not cover (those would need fetching)."""
-    cov = coverage(weather, start, end, zones)
-    if zones is not None:  # a zone the store has no row of is not covered either
-        asked = weather.sparkSession.createDataFrame([(z,) for z in sorted(set(zones))], "Zona string")
-        cov = asked.join(cov, "Zona", "left").withColumn("cubre", F.coalesce("cubre", F.lit(False)))
-    ok = cov.filter("cubre").select("Zona")
-    rows = (weather.join(ok, "Zona", "left_semi")
-            .filter(F.col("Fecha").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
-    return rows, cov.filter(~F.col("cubre")).select("Zona")
+    """The stored rows of [start, end] of the zones without a hole in it, and the holes of the
+    others (``missing_intervals``), which would need fetching."""
+    missing = missing_intervals(weather, start, end, zones)
+    rows = weather.join(missing.select("Zona"), "Zona", "left_anti").filter(
+        F.col("Fecha").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if zones is not None:
+        asked = zones.select("Zona") if isinstance(zones, DataFrame) else list(zones)
+        rows = rows.join(asked, "Zona", "left_semi") if isinstance(zones, DataFrame) else rows.where(F.col("Zona").isin(asked))
+    return rows, missing
+
+
+#: the store's partition columns: a zone's year is rewritten whole
+STORE_PARTS = ["Zona", "Anio"]
+
+
+def update_store(fetched: DataFrame, path: str) -> None:
+    """Merge fetched raw rows (Fecha, Zona, measures, weathercode) into the store at ``path``. Only partitions
+    (zone, year) that get rows are rewritten, by dynamic overwrite; a stored day wins over a fetched one (U1). The
+    merged rows are landed first, so nothing is overwritten while it is read."""
+    spark = fetched.sparkSession
+    new = fetched.withColumn("Anio", F.year("Fecha"))
+    try:
+        old = spark.read.parquet(path)
+        touched = new.select(*STORE_PARTS).distinct()
+        old = old.withColumn("Zona", F.col("Zona").cast("string")).join(touched, STORE_PARTS, "left_semi")
+        new = union_keep_first(old.select(*new.columns), new)
+    except AnalysisException:
+        new = union_keep_first(new)
+    merged = landed(new, "weather-merge")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORE_PARTS).parquet(path)
+    discard(merged)
 
 
 def payloads_from_weather(raw: DataFrame) -> DataFrame:

@@ -104,11 +104,14 @@ def today_forecast(panel: DataFrame, day, weather: DataFrame | None = None, bund
 
 def backcasts(panel: DataFrame, cutoffs_days, zone: str | None = None, bundle: v5.Bundle | None = None, weather: DataFrame | None = None) -> DataFrame:
     """V4 back-casts at fixed cutoffs (W14), by a stored ``bundle`` or the stand-in, joined to
-    zone actuals (J3), MAE each."""
+    zone actuals (J3), MAE each. The stand-in's cutoffs share one plan."""
+    if bundle is None:
+        out = backtest.backcasts(panel, cutoffs_days)
+        return out if zone is None else out.filter(F.col("Zona") == zone)
     out = None
     for c, days in cutoffs_days:
         train = panel.filter(F.col("Fecha") < F.lit(c).cast("date"))
-        fc = v5.forecast_v4_model(train, bundle, days, weather) if bundle else forecast.forecast_v4(train, stats.seasonal_means(train), stats.dow_factors(train), days)
+        fc = v5.forecast_v4_model(train, bundle, days, weather)
         j = metrics.real_vs_pred(panel, fc)
         if zone is not None:
             j = j.filter(F.col("Zona") == zone)

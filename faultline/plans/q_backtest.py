@@ -60,3 +60,26 @@ FROM wsum a JOIN wsum b ON a.Zona = b.Zona AND a.Modelo = 'V4' AND b.Modelo = 'V
 def walk_forward_compare(t):
     """V5 - V4 differences per zone (negative = V5 better)."""
     return metrics.compare_models(metrics.walk_forward_summary(wf_metrics(t)), "V4", "V5")
+
+
+BC = [("1996-03-01", 14), ("1997-01-15", 30), ("1998-06-01", 7)]
+BC_SQL = "WITH " + S.PANEL + """,
+cut AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, DATE '{c}', {d})" for i, (c, d) in enumerate(BC)) + """) v(Split, Corte, D)),
+btrain AS (SELECT c.Split, p.* FROM panel p JOIN cut c ON p.Fecha < c.Corte),""" \
+    + X.stats_ctes("b", "btrain", K) + "," + X.origin_ctes("b4", "btrain", K, 7) + "," + X.grid_ctes("b4", K, 30, sp="b") + "," \
+    + X.direct_fc("b4", K, 0.4) + """,
+bfc AS (SELECT f.* FROM b4fc f JOIN cut c ON f.Split = c.Split JOIN b4origin o ON o.Split = f.Split AND o.Zona = f.Zona AND o.Nodo = f.Nodo
+        WHERE f.Fecha <= o.Fecha + c.D),
+bp AS (SELECT Split, Zona, Fecha, sum(Prediccion_Tickets) AS Pred FROM bfc GROUP BY ALL),
+br AS (SELECT Zona, Fecha, sum(Tickets_Total) AS Real FROM panel GROUP BY ALL)
+SELECT p.Zona, c.Corte, avg(abs(CAST(Pred AS DOUBLE) - Real)) AS MAE,
+  avg(abs(CAST(Pred AS DOUBLE) - Real) / CASE WHEN Real <> 0 THEN CAST(Real AS DOUBLE) END) * 100.0 AS MAPE,
+  sqrt(avg((CAST(Pred AS DOUBLE) - Real) * (CAST(Pred AS DOUBLE) - Real))) AS RMSE, count(*) AS Dias,
+  count(*) FILTER (Real = 0) AS Dias_Sin_Demanda
+FROM bp p JOIN br r ON p.Zona = r.Zona AND p.Fecha = r.Fecha JOIN cut c ON c.Split = p.Split GROUP BY p.Zona, c.Corte"""
+
+
+@query("backcast_errors", BC_SQL)
+def backcast_errors(t):
+    """B9 (W14 + M10 + J3 + D9): V4 back-casts at three fixed cutoffs in one plan, errors per zone."""
+    return backtest.backcasts(D.panel(t), BC)

@@ -1,12 +1,15 @@
 """Registered demand-panel, statistics, weather and sample queries."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from faultline.operators import demand, samples, stats, weather
 from faultline.plans import derived as D
 from faultline.plans import sqlparts as S
 from faultline.plans.registry import query
+from faultline.session import ensure_checkpoint_dir, landed
 from faultline.sources import proxies
 
 W = "WITH "
@@ -220,6 +223,62 @@ def direct_samples(t):
     return samples.direct_samples(D.panel(t))
 
 
+@query("direct_samples_digest", PANEL + SAMPLES_SQL + """
+SELECT Zona, Nodo, Horizonte, count(*) AS n, min(Fecha) AS desde, max(Fecha) AS hasta,
+  CAST(sum(Tickets_Total) AS BIGINT) AS tickets, CAST(sum(Dia_Semana) AS BIGINT) AS dias, CAST(sum(Mes) AS BIGINT) AS meses,
+  sum(Lag_1_origin) AS lag_1, sum(Lag_7_origin) AS lag_7,
+  CAST(sum(CAST(round(Media_Movil_7d_origin * 7) AS BIGINT) * Tickets_Total) AS BIGINT) AS media_7,
+  CAST(sum(('0x' || substr(md5(concat_ws('|', Fecha, Tickets_Total, CAST(Lag_1_origin AS BIGINT), CAST(Lag_7_origin AS BIGINT),
+    CAST(round(Media_Movil_7d_origin * 7) AS BIGINT), CAST(round(Media_Movil_14d_origin * 360360) AS BIGINT))), 1, 8))::BIGINT) AS BIGINT) AS digest
+FROM samples GROUP BY ALL""")
+def direct_samples_digest(t):
+    """W5 + J10, all samples summed up per series and horizon: counts, date range, sums and an order-free sum of the
+    samples' hashes. 7 means of whole numbers times 7 are whole; 360360 is a multiple of every frame length up to 14."""
+    def whole(c, k):
+        return F.round(F.col(c) * k).cast("long")
+    s = samples.direct_samples(D.panel(t))
+    line = F.concat_ws("|", "Fecha", "Tickets_Total", F.col("Lag_1_origin").cast("long"), F.col("Lag_7_origin").cast("long"),
+                       whole("Media_Movil_7d_origin", 7), whole("Media_Movil_14d_origin", 360360))
+    return s.groupBy("Zona", "Nodo", "Horizonte").agg(
+        F.count(F.lit(1)).alias("n"), F.min("Fecha").alias("desde"), F.max("Fecha").alias("hasta"), F.sum("Tickets_Total").alias("tickets"),
+        F.sum("Dia_Semana").alias("dias"), F.sum("Mes").alias("meses"), F.sum("Lag_1_origin").alias("lag_1"), F.sum("Lag_7_origin").alias("lag_7"),
+        F.sum(whole("Media_Movil_7d_origin", 7) * F.col("Tickets_Total")).alias("media_7"),
+        F.sum(F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")).alias("digest"))
+
+
+#: the store of the two queries below: the weather table without its days of rain
+STORE = """,
+dry AS (SELECT * FROM wx WHERE es_lluvia = 0),
+span AS (SELECT DATE '1996-01-01' AS a, DATE '1996-12-31' AS b)"""
+
+
+@query("weather_missing_intervals", W + WEATHER_RAW + STORE + """,
+days AS (SELECT z.Zona, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS Fecha
+         FROM (SELECT DISTINCT Zona FROM wx) z, span),
+lack AS (SELECT d.* FROM days d WHERE NOT EXISTS (SELECT 1 FROM dry w WHERE w.Zona = d.Zona AND w.Fecha = d.Fecha)),
+isle AS (SELECT *, Fecha - CAST(row_number() OVER (PARTITION BY Zona ORDER BY Fecha) AS INTEGER) AS g FROM lack)
+SELECT Zona, min(Fecha) AS desde, max(Fecha) AS hasta, CAST(count(*) AS INTEGER) AS dias FROM isle GROUP BY Zona, g""")
+def weather_missing_intervals(t):
+    """The runs of days of 1996 that a store without its rainy days lacks, per zone."""
+    full = D.weather_table(t)
+    return weather.missing_intervals(full.where("es_lluvia = 0"), "1996-01-01", "1996-12-31", full.select("Zona").distinct())
+
+
+@query("weather_store_update", W + WEATHER_RAW + """
+SELECT Fecha, Zona, precipitacion_mm, temp_max, viento_max_kmh, weathercode FROM wraw""")
+def weather_store_update(t):
+    """Land the dry days, find the holes of the whole range, merge only the days in them, read the store."""
+    raw = landed(proxies.weather_from_lines(D.line_daily(t)), "weather")
+    path = f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/weather-store-{uuid.uuid4().hex[:12]}"
+    dry = raw.where("precipitacion_mm <= 2")
+    weather.update_store(dry, path)
+    lo, hi = raw.agg(F.min("Fecha"), F.max("Fecha")).first()
+    holes = weather.missing_intervals(t.spark.read.parquet(path), lo, hi, raw.select("Zona").distinct())
+    days = holes.select("Zona", F.explode(F.sequence("desde", "hasta")).alias("Fecha"))
+    weather.update_store(raw.join(days, ["Zona", "Fecha"], "left_semi"), path)
+    return t.spark.read.parquet(path).select(F.col("Fecha"), F.col("Zona").cast("string"), *weather.MEASURES, "weathercode")
+
+
 @query("weather_archive_forecast", W + WEATHER_RAW + """,
 clim2 AS (SELECT Zona, CAST(month(Fecha) AS INTEGER) AS mes, avg(precipitacion_mm) AS p, avg(temp_max) AS x,
             avg(viento_max_kmh) AS v FROM wraw GROUP BY ALL),

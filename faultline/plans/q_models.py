@@ -7,11 +7,12 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.operators import boosting, forecast, metrics, models, profile, reports, stats, v5
-from faultline.operators.series import scaled_windows
+from faultline import config as C
+from faultline.operators import autoregression, boosting, forecast, metrics, models, profile, reports, stats, v5
 from faultline.operators.splits import chrono_split
 from faultline.plans import derived as D
 from faultline.plans import sql_forecast as X
+from faultline.plans import sqlparts as S
 from faultline.plans.q_reports import labelled_folds
 from faultline.plans.q_forecast import BASE_WX, KEYS, STATS, V5I_SQL, holdout
 from faultline.plans.registry import query
@@ -61,21 +62,78 @@ def resolution_feature_importances(t):
     return models.feature_importances(model, t.spark)
 
 
-@query("weekly_autoregression")
+LAG_NAMES = [f"x{k}" for k in range(1, autoregression.LAGS + 1)]
+
+
+def ar_sql(p: str, rows: str) -> str:
+    """DuckDB: the coefficients of the zones of ``rows`` (Zona, y, x1 .. x7) as {p}coef."""
+    cells = ", ".join("[" + ", ".join(f"CAST(n * p_{min(a, b)}_{max(a, b)} - s_{a} * s_{b} AS DOUBLE)" if b != "y" else f"CAST(n * p_{a}_y - s_{a} * s_y AS DOUBLE)"
+                                      for b in [*LAG_NAMES, "y"]) + "]" for a in LAG_NAMES)
+    sums = ", ".join(f"CAST(sum({c}) AS HUGEINT) AS s_{c}" for c in [*LAG_NAMES, "y"])
+    products = ", ".join(f"CAST(sum({a} * {b}) AS HUGEINT) AS p_{a}_{b}" for i, a in enumerate(LAG_NAMES) for b in [*LAG_NAMES[i:], "y"])
+    n = autoregression.LAGS
+    b0 = "CAST(s_y AS DOUBLE)" + "".join(f" - m[{k}][{n + 1}] * CAST(s_x{k} AS DOUBLE)" for k in range(1, n + 1))
+    return f"""
+{p}sums AS (SELECT Zona, count(*) AS n, {sums}, {products} FROM {rows} GROUP BY Zona),
+{p}elim AS (
+  SELECT Zona, 0 AS k, [{cells}] AS m, [{cells}] AS m0 FROM {p}sums
+  UNION ALL
+  SELECT Zona, k, list_transform(m, lambda r, i: CASE WHEN i = k THEN lead_row ELSE list_transform(r, lambda x, j: x - r[k] * lead_row[j]) END), m0
+  FROM (SELECT Zona, k + 1 AS k, m, m0,
+               list_transform(m[k + 1], lambda x: CASE WHEN m[k + 1][k + 1] > {autoregression.TOLERANCE} * m0[k + 1][k + 1] THEN x / m[k + 1][k + 1] ELSE 0.0 END) AS lead_row
+        FROM {p}elim WHERE k < {n}) e),
+{p}coef AS (SELECT Zona, n, ({b0}) / n AS b0, {", ".join(f"m[{k}][{n + 1}] AS b{k}" for k in range(1, n + 1))}
+  FROM {p}elim JOIN {p}sums USING (Zona) WHERE k = {n})"""
+
+
+AR_ROWS = "WITH RECURSIVE " + S.PANEL + """,
+zd AS (SELECT Zona, Fecha, CAST(sum(Tickets_Total) AS BIGINT) AS y FROM panel GROUP BY Zona, Fecha),
+lg AS (SELECT *, row_number() OVER (PARTITION BY Zona ORDER BY Fecha) AS rn, count(*) OVER (PARTITION BY Zona) AS cnt
+       FROM (SELECT Zona, Fecha, y, """ + ", ".join(f"lag(y, {k}) OVER (PARTITION BY Zona ORDER BY Fecha) AS x{k}" for k in range(1, 8)) + """ FROM zd) a
+       WHERE x7 IS NOT NULL)"""
+AR_POINT = "b0" + "".join(f" + b{k} * x{k}" for k in range(1, 8))
+
+
+@query("weekly_coefficients", AR_ROWS + "," + ar_sql("w", "lg") + " SELECT Zona, n, b0, " + ", ".join(f"b{k}" for k in range(1, 8)) + " FROM wcoef")
+def weekly_coefficients(t):
+    """M18 (re-aimed): intercept and seven lag coefficients of every zone, by exact normal equations."""
+    return autoregression.coefficients(autoregression.lagged(reports.zone_daily_totals(D.panel(t))))
+
+
+@query("weekly_autoregression", AR_ROWS + """,
+parts AS (SELECT *, CASE WHEN rn - 1 < floor(cnt * 0.85) THEN 'train' ELSE 'test' END AS part FROM lg WHERE cnt >= 8),
+tr AS (SELECT * FROM parts WHERE part = 'train'),""" + ar_sql("w", "tr") + f""",
+e AS (SELECT p.Zona, sum(abs({AR_POINT} - CAST(y AS DOUBLE))) AS Suma_Errores, CAST(sum(y) AS DOUBLE) AS Suma_Reales,
+        avg(abs({AR_POINT} - CAST(y AS DOUBLE))) AS MAE
+      FROM parts p JOIN wcoef c ON p.Zona = c.Zona WHERE part = 'test' GROUP BY p.Zona),
+g AS (SELECT *, CASE WHEN Suma_Reales > 0 THEN Suma_Errores / Suma_Reales END AS WAPE,
+        CASE WHEN Suma_Reales > 0 THEN greatest(0.0, (1.0 - Suma_Errores / Suma_Reales) * 100.0) ELSE 0.0 END AS Precision_Operativa FROM e)
+SELECT *, CASE WHEN Precision_Operativa > {C.GRADE_HIGH} THEN 'ALTA' WHEN Precision_Operativa >= {C.GRADE_MID} THEN 'MEDIA' ELSE 'BAJA' END AS Grado FROM g""")
 def weekly_autoregression(t):
-    """M18 (re-aimed): 7-lag scaled linear autoregression per zone, 85/15 WAPE,
-    precision grade (D10 + P23)."""
-    zd = reports.zone_daily_totals(D.panel(t))
-    sw = scaled_windows(zd)
-    sw = sw.select("Zona", "Fecha", "Tickets_Total", "Escalado",
-                   *[F.element_at("Ventana", 8 - k).alias(f"x{k}") for k in range(1, 8)])
-    # the windows dropped each zone's first week already: 15 original rows are 8 here
-    sw = chrono_split(sw, window=0, min_rows=8)
-    _, pred = models.weekly_autoregression(sw)
-    lohi = zd.groupBy("Zona").agg(F.min("Tickets_Total").alias("_lo"), F.max("Tickets_Total").alias("_hi"))
-    pred = pred.join(lohi, "Zona").withColumn(
-        "Pred", F.col("prediction") * (F.col("_hi") - F.col("_lo")) + F.col("_lo"))
-    return metrics.wape_precision(pred.withColumnRenamed("Tickets_Total", "Real"))
+    """M18 (re-aimed): each zone's autoregression trained on its first 85 % (W8), WAPE and precision grade
+    on the rest (D10 + P23)."""
+    rows = autoregression.lagged(reports.zone_daily_totals(D.panel(t)))
+    # the lags dropped each zone's first week already: 15 original rows are 8 here
+    rows = chrono_split(rows, window=0, min_rows=8)
+    fitted = autoregression.coefficients(rows.where("Particion = 'train'"))
+    return metrics.wape_precision(autoregression.predict(rows.where("Particion = 'test'"), fitted).withColumnRenamed("y", "Real"))
+
+
+@query("weekly_forecast", AR_ROWS + "," + ar_sql("w", "lg") + f""",
+mean AS (SELECT Zona, avg(y) AS Media_Zona, list_reverse(list_slice(list(CAST(y AS DOUBLE) ORDER BY Fecha), -7, -1)) AS win FROM zd GROUP BY Zona),
+rec AS (
+  SELECT m.Zona, 0 AS h, win, CAST(NULL AS DOUBLE) AS p FROM mean m JOIN wcoef c ON m.Zona = c.Zona
+  UNION ALL
+  SELECT Zona, h + 1, list_concat([v], win), v
+  FROM (SELECT r.*, b0{"".join(f" + b{k} * win[{k}]" for k in range(1, 8))} AS v FROM rec r JOIN wcoef c ON r.Zona = c.Zona WHERE h < 7) x),
+vol AS (SELECT r.Zona, CAST((SELECT max(Fecha) FROM zd) + h AS DATE) AS Fecha, greatest(0, CAST(trunc(p) AS BIGINT)) AS Volumen, Media_Zona
+        FROM rec r JOIN mean m ON r.Zona = m.Zona WHERE h > 0)
+SELECT Zona, Fecha, Volumen, Media_Zona,
+  CASE WHEN CAST(Volumen AS DOUBLE) > Media_Zona * {C.PEAK_FACTOR} THEN 'PICO' WHEN CAST(Volumen AS DOUBLE) < Media_Zona * {C.VALLEY_FACTOR} THEN 'VALLE' ELSE 'NOMINAL' END AS Alerta
+FROM vol""")
+def weekly_forecast(t):
+    """M18 + P22: seven days ahead per zone by recursion, graded against the zone's mean demand."""
+    return autoregression.weekly_forecast(reports.zone_daily_totals(D.panel(t)))
 
 
 #: the zone whose nodes have models of their own in these queries

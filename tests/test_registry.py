@@ -16,7 +16,7 @@ def test_queries_resolve(spark):
     import __spark_entry__ as e
     skip = {"sla_classifier_report", "ticket_risk_scores", "resolution_regressor_metrics",
             "resolution_feature_importances", "forecast_v5_model", "node_clusters", "critical_cluster_top",
-            "weekly_autoregression", "tickets_csv_roundtrip", "tickets_csv_tolerant", "sla_from_store",
+            "tickets_csv_roundtrip", "tickets_csv_tolerant", "sla_from_store",
             "walk_forward_metrics", "walk_forward_summary", "walk_forward_compare",
             "holdout_model_metrics", "demand_v1_recursive_model", "search_results"}
     for name, fn in e.queries().items():
