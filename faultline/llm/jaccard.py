@@ -28,8 +28,9 @@ after step 2 every pair that shares a bucket is linked, ruled out by the bound o
 exact test, or already in one component.
 
 Cases: null text and texts without words have an empty set and no links; with fewer words
-than a shingle has, the whole sequence is the one shingle; rows of one doc_id are one
-document, of the smallest of their texts, and give one row; null doc_ids are left out; an
+than a shingle has, the whole sequence is the one shingle; every row keeps its own set and gives a row, and
+rows of one doc_id are one node, linked with whatever any of their texts is linked with; very long texts are hashed
+whole; repeated rows and ties are copies of one set; null doc_ids are left out; an
 empty table gives no rows; other columns are ignored.
 """
 from __future__ import annotations
@@ -329,11 +330,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     included) of every document of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id IS NOT NULL")
     found = written(_digests(docs), "sets")
+    if found.where("chunk IS NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _classes(docs, found)
+    # several rows a doc_id: the rows are joined under numbers of their own, then the doc_ids by their rows
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    numbered = rows.select(F.col("row").alias("doc_id"), "text")
+    linked = _classes(numbered, written(_digests(numbered), "sets")).withColumnRenamed("doc_id", "row")
+    linked = written(linked.join(rows.select("row", "doc_id"), "row"), "linked")
+    first = linked.groupBy("component_id").agg(F.min("doc_id").alias("b"))
+    ties = linked.select("component_id", F.col("doc_id").alias("a")).distinct().join(first, "component_id").select("a", "b")
+    named = components(ties).withColumnRenamed("node", "doc_id")
+    return linked.join(named, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+
+
+def _classes(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``near_duplicates`` of rows whose doc_ids differ; ``found``: their digests."""
     sets = found.where("chunk IS NULL").drop("chunk", "counts")
-    if not sets.groupBy("doc_id").count().where("count > 1").isEmpty():
-        docs = written(docs.groupBy("doc_id").agg(F.min("text").alias("text")), "single")
-        found = written(_digests(docs), "sets")
-        sets = found.where("chunk IS NULL").drop("chunk", "counts")
     # copies: one representative a set, the smallest doc_id
     classes = sets.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     classes = written(classes, "classes")

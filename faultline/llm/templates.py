@@ -5,7 +5,8 @@ sentence) are replaced by typed placeholders, everything else by its lower-case
 Windows of ``WINDOW`` template words of the documents are hash-joined with those of the
 benchmark. Aligned windows must agree on their slots: within one alignment a benchmark
 value may stand for one document value only, so "Tom has 5" matches "Ann has 7" only if
-Tom is Ann and 5 is 7 throughout. A second view without names finds passages whose case
+Tom is Ann and 5 is 7 throughout; two names may not become one, while two numbers may become equal.
+Number words and units are known in English, German, Spanish and French. A second view without names finds passages whose case
 was changed, a third one takes capitalised words that open a sentence as names too. A document holds an item if consistent windows cover at least ``COVER`` percent of
 the item's windows.
 
@@ -17,7 +18,7 @@ exactly as well: their whole sequence of lower-case tokens, punctuation left out
 Only windows that pass a bit map of the benchmark's window hashes (a fixed number of bits)
 leave the scan of the documents, so the corpus is read once and never shuffled.
 
-Cases: null texts have no words; items under WINDOW words are matched as one window; items
+Cases: null texts have no words; very long texts are cut into windows like others, one text at a time; items under WINDOW words are matched as one window; items
 without a word match nothing, an item of one word every document that holds the word; repeated
 rows of a doc_id count as one document; an empty table on either side gives no matches;
 null ids are left out of matches and such rows kept; all columns of the documents are kept, whatever their
@@ -48,11 +49,26 @@ _UNSPACED_ANY = re.compile(f"[{_UNSPACED}]")
 _OWN_TOKEN = re.compile(rf"[{_UNSPACED}]|[^\W\d_{_UNSPACED}]+(?:['’][^\W\d_{_UNSPACED}]+)*|\d+(?:[.,:/]\d+)*|[%$€£°]")
 _END = "\x1f"
 _STOPS = frozenset(".!?…:;\n")
+#: FIXED VALUES: number words of English, German, Spanish and French; words that are articles too (un, una, ein, une) are left out
 _NUMBERS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
-twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half third quarter""".split())
+twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion half third quarter
+null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf dreizehn vierzehn fünfzehn sechzehn siebzehn achtzehn neunzehn
+zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend millionen halb
+cero dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince dieciséis diecisiete dieciocho diecinueve
+veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien ciento mil millón millones medio media tercio cuarto
+zéro deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize
+vingt trente quarante cinquante soixante cent cents mille millions demi demie tiers quart""".split())
+#: FIXED VALUES: units of the same languages, slots only beside a number
 _UNITS = frozenset("""% $ € £ ° mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds ounce ounces
 ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent cents euro
 euros percent degree degrees kmh mph watt watts volt volts joule joules meter meters metre metres centimeter centimeters kilometer kilometers""".split())
+_UNITS_ABROAD = frozenset("""zoll fuß meile meilen gramm kilogramm pfund unze unzen tonne tonnen sekunde sekunden minuten stunde stunden tag tage tagen woche wochen
+monat monate monaten jahr jahre jahren prozent grad zentimeter
+pulgada pulgadas pie pies yarda yardas milla millas gramo gramos kilogramo kilogramos kilo kilos libra libras onza onzas tonelada toneladas litro litros galón galones
+segundo segundos minuto minutos hora horas día días semana semanas mes meses año años dólar dólares centavo centavos céntimo céntimos grado grados
+metro metros centímetro centímetros kilómetro kilómetros vatio vatios voltio voltios julio julios
+pouce pouces pied pieds gramme grammes kilogramme kilogrammes livre livres once onces tonnes seconde secondes heure heures jour jours semaine semaines
+mois an ans année années centime centimes degré degrés mètre mètres centimètre centimètres kilomètre kilomètres pourcent""".split())
 STOP, NUMBER, UNIT, NAME = 1, 2, 3, 4
 #: the number of the exact rows beside the three views
 WHOLE = 3
@@ -64,7 +80,7 @@ class _Tokens(dict):
 
     def __missing__(self, token: str) -> bytes:
         low = token.lower()
-        kind = STOP if token in _STOPS else NUMBER if token[0].isdigit() or low in _NUMBERS else UNIT if low in _UNITS else (
+        kind = STOP if token in _STOPS else NUMBER if token[0].isdigit() or low in _NUMBERS else UNIT if low in _UNITS or low in _UNITS_ABROAD else (
             NAME if token[0].isupper() and not token.isupper() else 0)
         found = xxhash.xxh3_64_digest(low.encode("utf-8", "replace")) + bytes([kind, 0, 0, 0, 0, 0, 0, 0])
         if len(token) <= 64:
@@ -93,10 +109,16 @@ def canonical(text: str) -> tuple:
 
 
 def _views(text: str):
-    """(view, hashes of the template words, whether each is a slot, hashes of the own words)"""
+    """(view, hashes of the template words, the slot type of each (0 none), hashes of the own words)"""
     own, *every = canonical(text)
     for view, slots in enumerate(every):
-        yield view, np.where(slots > 0, slots.astype(np.uint64), own) ^ np.uint64(view), slots > 0, signed(own)
+        yield view, np.where(slots > 0, slots.astype(np.uint64), own) ^ np.uint64(view), slots, own
+
+
+def _values(own: np.ndarray, slots: np.ndarray) -> list:
+    """Hashes of a window's slot words; their two lowest bits hold the slot type (0 for a name)."""
+    at = slots > 0
+    return signed(own[at] & np.uint64(~3 & (1 << 64) - 1) | slots[at].astype(np.uint64) & np.uint64(3)).tolist()
 
 
 def _own_tokens(text: str) -> list:
@@ -107,7 +129,7 @@ def _own_tokens(text: str) -> list:
 def _own_keys(text: str, own: np.ndarray) -> np.ndarray:
     """Hashes of ``_own_tokens``. ``own``: the hashes of the words, which they are but for scripts without blanks."""
     if text.isascii() or not _UNSPACED_ANY.search(text):
-        return own.view(np.uint64)
+        return own
     return np.frombuffer(b"".join(map(_TOKENS[0].__getitem__, _OWN_TOKEN.findall(text))), "<u8").reshape(-1, 2)[:, 0]
 
 
@@ -143,9 +165,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     if len(own) < LEAST:
                         continue
                     k = min(WINDOW, len(own))
-                    good = np.flatnonzero(_literal(slot, k))
+                    good = np.flatnonzero(_literal(slot > 0, k))
                     keys = signed(windows(hashes, k))
-                    found += [(item, view, int(i), int(keys[i]), len(good), k, own[i:i + k][slot[i:i + k]].tolist(), None) for i in good]
+                    found += [(item, view, int(i), int(keys[i]), len(good), k, _values(own[i:i + k], slot[i:i + k]), None) for i in good]
                 if len(found) == have or _UNSPACED_ANY.search(text):
                     tokens, keys = _own_tokens(text), _own_keys(text, own)
                     k = min(WINDOW, len(keys))
@@ -198,8 +220,9 @@ def _document_windows(docs: DataFrame, bit_map: np.ndarray, lengths: list, whole
                         if len(own) < k:
                             continue
                         keys = windows(hashes, k)
-                        for i in np.flatnonzero(passing(bits, keys) & _literal(slot, k)).tolist():
-                            found.append((doc, view, i, int(keys[i].view(np.int64)), 0, k, own[i:i + k][slot[i:i + k]].tolist(), None))
+                        at = np.flatnonzero(passing(bits, keys))
+                        for i in at[_literal(slot > 0, k)[at]].tolist() if len(at) else ():
+                            found.append((doc, view, i, int(keys[i].view(np.int64)), 0, k, _values(own[i:i + k], slot[i:i + k]), None))
                 if whole:
                     found += leads(bits, doc, text, _own_keys(text, own))
                 if len(found) > 20_000:
@@ -227,7 +250,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     aligned = joined.select("doc_id", "item_id", "view", "n_windows", "at", (F.col("doc_at") - F.col("at")).alias("shift"), pairs.alias("pairs")).groupBy(
         "doc_id", "item_id", "view", "n_windows", "shift").agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
-    consistent = aligned.where(one == F.size("pairs")).withColumn("same", F.forall("pairs", lambda p: p["item"] == p["doc"]))
+    # and two names of the item are two names of the document (numbers may coincide)
+    names = F.filter("pairs", lambda p: p["item"].bitwiseAND(F.lit(3)) == 0)
+    apart = F.size(F.array_distinct(F.transform(names, lambda p: p["doc"]))) == F.size(names)
+    consistent = aligned.where((one == F.size("pairs")) & apart).withColumn("same", F.forall("pairs", lambda p: p["item"] == p["doc"]))
     views = consistent.groupBy("doc_id", "item_id", "view", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).cast("long").alias("n_matched"), F.min("same").alias("same"))
     enough = views.where(F.col("n_matched") * 100 >= F.col("n_windows") * COVER)
