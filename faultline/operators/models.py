@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
