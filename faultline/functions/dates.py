@@ -44,17 +44,19 @@ def cyclic(c, period: float):
     return F.sin(ang), F.cos(ang)
 
 
-def holiday_flag(c) -> Column:
-    return F.to_date(as_col(c)).isin(C.HOLIDAY_DATES).cast("int")
+def holiday_flag(c, holidays=None) -> Column:
+    """``holidays``: dates or ISO texts (None: the fixed list); a null date is null."""
+    days = C.HOLIDAY_DATES if holidays is None else [F.lit(d).cast("date") for d in holidays]
+    return F.to_date(as_col(c)).isin(*days).cast("int")
 
 
-def calendar_columns(c) -> dict:
+def calendar_columns(c, holidays=None) -> dict:
     """Calendar flags for a date column."""
     d = F.to_date(as_col(c))
     dia = F.dayofmonth(d)
     dow = F.weekday(d)
     return {
-        "es_festivo": holiday_flag(d),
+        "es_festivo": holiday_flag(d, holidays),
         "es_quincena": (((dia >= 14) & (dia <= 16)) | (dia >= 28) | (dia <= 1)).cast("int"),
         "semana_del_mes": (F.floor((dia - 1) / 7) + 1).cast("int"),
         "dia_del_mes": dia.cast("int"),

@@ -73,9 +73,9 @@ def target_encoding(df: DataFrame, y: str = "Tickets_Total", k: float = C.TARGET
                     F.coalesce(F.col("_sd"), F.lit(0.0)).alias("nodo_target_std"))
 
 
-def add_calendar(df: DataFrame, date_col: str = "Fecha") -> DataFrame:
-    """P18 flags for every row."""
-    return df.withColumns(calendar_columns(date_col))
+def add_calendar(df: DataFrame, date_col: str = "Fecha", holidays=None) -> DataFrame:
+    """P18 flags for every row; ``holidays``: dates (None: the fixed list)."""
+    return df.withColumns(calendar_columns(date_col, holidays))
 
 
 def out_of_fold_encoding(df: DataFrame, cats, label: str, fold: str = "fold", least: float = 20.0, slope: float = 10.0) -> DataFrame:

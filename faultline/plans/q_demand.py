@@ -130,6 +130,32 @@ def calendar_features(t):
     return stats.add_calendar(D.panel(t).select("Fecha", "Zona", "Nodo", "Dia_Semana", "Mes"))
 
 
+#: holidays of the proxy's years, a parameter of P18
+HOLIDAYS = [f"{y}-{d}" for y in range(1992, 1999) for d in ("01-01", "05-01", "07-20", "12-25")]
+
+
+@query("calendar_holidays", PANEL + """
+SELECT Fecha, Zona, Nodo, es_festivo, Tickets_Total FROM (
+  SELECT *, CAST(Fecha IN (""" + ", ".join(f"DATE '{d}'" for d in HOLIDAYS) + """) AS INTEGER) AS es_festivo FROM panel) p WHERE es_festivo = 1""")
+def calendar_holidays(t):
+    """P18 with a holiday list of the panel's own years: the demand of the holidays."""
+    days = stats.add_calendar(D.panel(t), holidays=HOLIDAYS).where("es_festivo = 1")
+    return days.select("Fecha", "Zona", "Nodo", "es_festivo", "Tickets_Total")
+
+
+#: an allow-list that names zones of the proxy, in other case and with accents; zones that it leaves out pass whole
+ALLOW = {"EUROPE ": ["Fránce", "RÜSSIA", "germany"], "ASIA": ["Índia"], "AMERICA": ["Cañada", "Brazíl "]}
+
+
+@query("allowed_demand", W + S.LINES + """,
+al AS (SELECT * FROM (VALUES """ + ", ".join(f"({S.sql_str(z.strip())}, {S.sql_fold(S.sql_str(n))})" for z, ns in ALLOW.items() for n in ns) + f""") v(zona, node))
+SELECT c.* FROM counts c WHERE trim(c.Zona) NOT IN (SELECT zona FROM al)
+  OR EXISTS (SELECT 1 FROM al WHERE zona = trim(c.Zona) AND node = {S.sql_norm('c.Nodo')}) OR {S.sql_norm('c.Nodo')} = 'desconocido'""")
+def allowed_demand(t):
+    """P16 + P17: demand of listed zones' listed nodes and of all other zones."""
+    return demand.filter_allowed(D.demand_counts(t), ALLOW)
+
+
 WEATHER_RAW = S.LINES + """,
 wraw AS (
   SELECT Fecha, Zona, sum(l_quantity) / count(*) * 0.4 AS precipitacion_mm,

@@ -41,6 +41,20 @@ def sla_classifier_report(t):
     return rep
 
 
+@query("sla_rule_report", "WITH " + S.SLA + """,
+pr AS (SELECT Target AS y, CAST(Prioridad IN ('Alta', 'Crítica') AS INTEGER) AS p FROM sla),
+cl AS (SELECT y AS clase, count(*) AS support, count(*) FILTER (p = y) AS tp FROM pr GROUP BY y),
+pp AS (SELECT p, count(*) AS pred_pos FROM pr GROUP BY p),
+r AS (SELECT clase, support, CASE WHEN coalesce(pred_pos, 0) > 0 THEN tp / CAST(pred_pos AS DOUBLE) ELSE 0.0 END AS precision, tp / CAST(support AS DOUBLE) AS recall
+      FROM cl LEFT JOIN pp ON p = clase),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM r)
+SELECT clase, precision, recall, f1, support, sum(f1 * support) OVER () / sum(support) OVER () AS weighted_f1 FROM f""")
+def sla_rule_report(t):
+    """D26 on fixed predictions: tickets of the two upper priorities are foretold to breach."""
+    rule = F.col("Prioridad").isin("Alta", "Crítica").cast("int")
+    return models.classification_report(D.sla(t).select("Target", rule.alias("prediction")))
+
+
 @query("ticket_risk_scores")
 def ticket_risk_scores(t):
     """Score the open tickets, which the classifier has not seen (probability %, tier)."""
