@@ -14,23 +14,31 @@ differ stay all; a text whose every chunk goes becomes empty; an empty table giv
 all other columns are kept, whatever their names.
 
 Chunk boundaries depend on three lines, so most short repeated passages between other lines are in no chunk of
-their own and stay (the README has the recall). ``dedup_runs`` removes all of them: it compares every two
-neighbouring lines with a word instead of chunks. A line goes if it stands in such a pair that occurs earlier
+their own and stay (``dedup_lines``; the README has the recall). ``dedup_chunks`` finds all of them by chunks that share their
+edge lines, so that every two neighbouring lines with a word lie in exactly one chunk. The rolling hash runs over such
+pairs of lines, and where it is divisible by ``DIVISOR`` a chunk ends with the pair. Copies of a chunk go whole, as chunks. Of every
+distinct chunk one place is opened into its pairs, and pairs that occur earlier extend the removal line by line to the
+maximal repeated run, whatever the chunk's edges.
+
+The rule, which no boundary enters: a line goes if it stands in a pair of neighbouring worded lines that occurs earlier
 (smaller doc_id, there the first place; a pair that overlaps its own first place stays), so every maximal run of
 two or more repeated lines goes whole and the first occurrence of each line stays. Lines without a word between
-the two go with them. Rows of one doc_id are ordered by their texts' hashes, equal rows are treated alike; the
-other cases are as above.
+the two go with them. Rows of one doc_id are ordered by their texts' hashes, equal rows are treated alike; very long
+texts are cut into more chunks, none longer than the text; the other cases are as above. ``dedup_runs`` gives the same
+without chunks.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import written
+from faultline.llm.common import discard, written
 
 WINDOW = 3
 DIVISOR = 4
 MIN_LINES = 2
+#: tasks over which the rows of one hash are spread
+SALTS = 8
 #: the rolling hash's factor and modulus (products stay far below 2**63)
 FACTOR, MODULUS = 1_000_003, 2_147_483_647
 
@@ -102,13 +110,14 @@ _KEY = ["doc_id", "row_hash"]
 
 
 def _line_pairs(text):
-    """A column expression: array<struct<a, b, hash>> of a text's neighbouring worded lines: their numbers and the pair's hash."""
+    """A column expression: array<struct<a, b, hash, twin>> of a text's neighbouring worded lines: their numbers,
+    the pair's hash and whether the two are equal."""
     numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
 
     def pair(w):
         n = F.greatest(F.size(w) - 1, F.lit(0))
         return F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.struct(
-            a["i"].alias("a"), b["i"].alias("b"), F.xxhash64(a["x"], b["x"]).alias("hash")))
+            a["i"].alias("a"), b["i"].alias("b"), F.xxhash64(a["x"], b["x"]).alias("hash"), (a["x"] == b["x"]).alias("twin")))
 
     return F.flatten(F.transform(F.array(F.filter(numbered, lambda p: p["x"].rlike(_WORDED))), pair))
 
@@ -143,7 +152,11 @@ def run_removals(docs: DataFrame) -> DataFrame:
 
 def dedup_runs(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) with the text that stays, and __n_removed, the lines removed."""
-    gone = run_removals(docs).select(F.col("doc_id").alias("__gone_doc"), F.col("row_hash").alias("__gone_row"), F.col("gone").alias("__gone"))
+    return _without(docs, run_removals(docs))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.select(F.col("doc_id").alias("__gone_doc"), F.col("row_hash").alias("__gone_row"), F.col("gone").alias("__gone"))
     joined = docs.join(gone, (F.col("doc_id").cast("long") == F.col("__gone_doc")) & (F.xxhash64("text") == F.col("__gone_row")), "left")
     both = F.array(F.struct(F.split("text", "\n").alias("lines"), F.col("__gone").alias("gone")))
     kept = F.array_join(F.flatten(F.transform(both, lambda s: F.transform(
@@ -153,6 +166,65 @@ def dedup_runs(docs: DataFrame) -> DataFrame:
                          F.when(cut, F.size("__gone")).otherwise(F.lit(0)).cast("long").alias("__n_removed"))
 
 
+def _chunks(text):
+    """A column expression: array<struct<a, b, hash, plain, pairs>>: the chunks of a text's pairs of lines, with their
+    first and last line, and whether no pair is of two equal lines (such a pair may overlap its own first place)."""
+    some = F.filter(F.array(F.struct(_line_pairs(text).alias("pairs"))), lambda s: F.size(s["pairs"]) > 0)
+    ended = F.transform(some, lambda s: F.struct(s["pairs"].alias("pairs"), F.filter(
+        F.sequence(F.lit(1), F.size(s["pairs"])),
+        lambda i: (F.pmod(F.element_at(s["pairs"], i)["hash"], F.lit(DIVISOR)) == 0) | (i == F.size(s["pairs"]))).alias("ends")))
+
+    def chunk(pairs, start, end):
+        own = F.slice(pairs, start + 1, end - start)
+        return F.struct(F.element_at(pairs, start + 1)["a"].alias("a"), F.element_at(pairs, end)["b"].alias("b"),
+                        F.xxhash64(F.transform(own, lambda p: p["hash"])).alias("hash"),
+                        (~F.exists(own, lambda p: p["twin"])).alias("plain"), own.alias("pairs"))
+
+    return F.flatten(F.transform(ended, lambda s: F.transform(s["ends"], lambda end, k: chunk(
+        s["pairs"], F.when(k == 0, F.lit(0)).otherwise(F.element_at(s["ends"], F.greatest(k, F.lit(1)))), end))))
+
+
+def _with_first(rows: DataFrame, firsts: DataFrame, how: str) -> DataFrame:
+    """``rows`` with the ``first`` place of their hash; the rows of a hot hash are spread over ``SALTS`` tasks."""
+    spread = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(spread, ["hash", "salt"], how).drop("salt")
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """hash, first (place of the first occurrence) of the hashes that occur more than once."""
+    return rows.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "a", "b")).alias("first")).where("n > 1").select("hash", "first")
+
+
+def chunk_removals(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, gone (numbers of the lines to remove) of rows that lose some."""
+    chunks = written(_keyed(docs).select(*_KEY, F.explode(_chunks(F.col("text"))).alias("c")).select(*_KEY, "c.*"), "line-chunks")
+    # a null hash meets no first place: chunks with twin lines are always opened
+    keyed = chunks.withColumn("hash", F.when(F.col("plain"), F.col("hash")))
+    told = written(_with_first(keyed, _firsts(keyed.where("plain")), "left"), "told-chunks")
+    discard(chunks)
+    elsewhere = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("row_hash") != F.col("first.row_hash"))
+    copy = F.coalesce(elsewhere | (F.col("a") > F.col("first.a")), F.lit(False))
+    opened = told.where(~copy).select(*_KEY, F.explode("pairs").alias("p")).select(*_KEY, "p.a", "p.b", "p.hash")
+    pairs = written(_with_first(opened, _firsts(opened), "inner"), "line-pairs")
+    span = [*_KEY, "a", "b", "hash"]
+    again = told.where(copy).select(*span).unionByName(pairs.where(elsewhere | (F.col("a") > F.col("first.b"))).select(*span))
+    # the bytes: all places of a hash must hold the same lines
+    held = told.where("first IS NOT NULL").select(*span).unionByName(pairs.select(*span)).groupBy(*_KEY).agg(
+        F.collect_set(F.struct("a", "b", "hash")).alias("spans"))
+    bodies = F.transform(F.array(F.struct(F.split("text", "\n").alias("lines"), "spans")), lambda s: F.transform(s["spans"], lambda p: F.struct(
+        p["hash"].alias("hash"), F.array_join(F.filter(F.slice(s["lines"], p["a"] + 1, p["b"] - p["a"] + 1), lambda x: x.rlike(_WORDED)), "\n").alias("body"))))
+    places = _keyed(docs).join(held, _KEY).select(F.explode(F.flatten(bodies)).alias("p")).select("p.*")
+    unlike = written(places.groupBy("hash", "body").agg(F.lit(1).alias("one")).groupBy("hash").count().where("count > 1").select("hash"), "unlike")
+    if not unlike.isEmpty():
+        again = again.join(unlike, "hash", "left_anti")
+    return again.groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone"))
+
+
+def dedup_chunks(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` (doc_id, text, ...) with the text that stays, and __n_removed, the lines removed."""
+    return _without(docs, chunk_removals(docs))
+
+
 #: DuckDB, over a table or view ``documents``: doc_id, n_removed lines and the text that stays
 SQL = f"""
 WITH lines AS (
@@ -176,3 +248,20 @@ WITH lines AS (
   SELECT doc_id, sum(CASE WHEN gone THEN lines ELSE 0 END)::BIGINT AS n_removed, coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '') AS body
   FROM verdict GROUP BY doc_id
 )"""
+
+#: the rule of ``dedup_chunks`` in DuckDB, over a table or view ``documents`` with one row a doc_id: doc_id, n_removed, body
+RUNS_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM {docs}
+), worded AS (
+  SELECT doc_id, i, line, lead(i) OVER w AS j, lead(line) OVER w AS next FROM lines
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), placed AS (
+  SELECT doc_id, i, j, first_value(doc_id) OVER p AS first_doc, first_value(j) OVER p AS first_j
+  FROM worded WHERE j IS NOT NULL WINDOW p AS (PARTITION BY line, next ORDER BY doc_id, i)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM placed WHERE doc_id > first_doc OR i > first_j
+), kept AS (
+  SELECT l.doc_id, count(g.i)::BIGINT AS n_removed, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS body
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
+)"""

@@ -20,7 +20,7 @@ def op2_template_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+    cut = lines.dedup_chunks(read_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", F.col("__n_removed").alias("n_removed"), "text")
 
 
@@ -72,7 +72,7 @@ QUERIES = {f.__name__: f for f in (
     op11_arrow_alignment, op12_zstd_novelty, op13_butterfly_manifest)}
 
 ORACLES: dict[str, str] = {
-    "op3_line_chunks": lines.SQL.format(docs="documents") + """
+    "op3_line_chunks": lines.RUNS_SQL.format(docs="documents") + """
 SELECT d.doc_id, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN d.text IS NULL THEN NULL ELSE k.body END AS text
 FROM documents d LEFT JOIN kept k USING (doc_id)""",
     "op5_preference_pairs": preference.SQL,

@@ -261,6 +261,7 @@ def test_line_runs(spark, docs, rows, empty):
     want = runs_left(table)
     assert got == want
     assert sum(n for d, (n, _) in got.items() if d < 2000) == planted
+    assert {r.doc_id: (r["__n_removed"], r.text) for r in lines.dedup_chunks(every).collect()} == want
     chunked = sum(r["__n_removed"] for r in lines.dedup_lines(every).where("doc_id < 2000").collect())
     print(f"planted {planted} lines: runs {planted}, chunks {chunked}")
     assert chunked < planted
@@ -270,6 +271,31 @@ def test_line_runs(spark, docs, rows, empty):
     assert (3, None) in own and cut.count() == len(rows)
 
 
+def test_chunks_remove_whole_runs(spark, docs, rows, empty):
+    """Chunks and the runs at their edges together give the rule, whatever the boundaries; so does the SQL."""
+    import duckdb
+    rng = np.random.default_rng(11)
+    table = []
+    for d in range(300):  # few lines, so that copies, runs within a text and twin lines are frequent
+        own = [str(rng.choice(["a", "b", "c d", "", " ", "e", "f g", "h", "i", "j"])) for _ in range(int(rng.integers(0, 9)))]
+        foreign = [prose(9000 + 10 * d + i, 3) for i in range(3)]
+        table.append((d, "\n".join(foreign[:d % 3] + own + foreign[d % 3:])))
+    table += [(300 + k, "\n".join(prose(700 + i, 4) for i in range(40))) for k in range(20)]  # copies of several chunks
+    table += [(320, "x\nx\nx\nx\nx"), (321, ""), (322, "one line"), (323, "x\n\nx\ny\nx\ny\nx"), (324, " \n\t")]
+    every = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r["__n_removed"], r.text) for r in lines.dedup_chunks(every).collect()}
+    assert got == runs_left(table) and got[310] == (40, "")
+    with duckdb.connect() as db:
+        import pandas as pd
+        db.register("documents", pd.DataFrame(table, columns=["doc_id", "text"]))
+        sql = db.execute(lines.RUNS_SQL.format(docs="documents") + " SELECT doc_id, n_removed, body FROM kept").fetchall()
+    assert {d: (n, body) for d, n, body in sql} == got
+    odd = docs.unionByName(spark.createDataFrame([(None, "a b\nc d", None, None, None, 1, 2, "x")], docs.schema))
+    as_runs = sorted(map(str, lines.dedup_runs(odd).collect()))
+    assert sorted(map(str, lines.dedup_chunks(odd).collect())) == as_runs and len(as_runs) == len(rows) + 1
+    assert lines.dedup_chunks(empty).columns == docs.columns + ["__n_removed"] and lines.dedup_chunks(empty).count() == 0
+
+
 def test_ring(docs, rows, empty, spark):
     got = ring.assign(docs).collect()
     sizes = Counter(r.shard for r in got)
