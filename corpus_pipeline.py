@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of two or more lines go; documents of which nothing stays go as well."""
-    cut = lines.dedup_runs(docs).drop("__n_removed")
+    cut = lines.dedup_chunks(docs).drop("__n_removed")
     return cut.withColumn("n_chars", F.length("text").cast("long")).where("text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
 
 
