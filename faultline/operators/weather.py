@@ -114,16 +114,22 @@ def read_stored_weather(weather: DataFrame, start, end, zones=None):
 STORE_PARTS = ["Zona", "Anio"]
 
 
+def read_store(like: DataFrame, path: str) -> DataFrame:
+    """The store's rows, with the columns of ``like`` (raw rows) and Anio. They are given, not inferred: a store
+    that got no row yet has no file to tell them, and a zone named 007 stays text."""
+    schema = like.select(*[c for c in like.columns if c not in STORE_PARTS], F.col("Zona").cast("string"), F.lit(None).cast("int").alias("Anio")).schema
+    return like.sparkSession.read.schema(schema).parquet(path)
+
+
 def update_store(fetched: DataFrame, path: str) -> None:
     """Merge fetched raw rows (Fecha, Zona, measures, weathercode) into the store at ``path``. Only partitions
     (zone, year) that get rows are rewritten, by dynamic overwrite; a stored day wins over a fetched one (U1). The
     merged rows are landed first, so nothing is overwritten while it is read."""
-    spark = fetched.sparkSession
     new = fetched.withColumn("Anio", F.year("Fecha"))
     try:
-        old = spark.read.parquet(path)
+        old = read_store(fetched, path)
         touched = new.select(*STORE_PARTS).distinct()
-        old = old.withColumn("Zona", F.col("Zona").cast("string")).join(touched, STORE_PARTS, "left_semi")
+        old = old.join(touched, STORE_PARTS, "left_semi")
         new = union_keep_first(old.select(*new.columns), new)
     except AnalysisException:
         new = union_keep_first(new)

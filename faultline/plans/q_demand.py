@@ -299,10 +299,10 @@ def weather_store_update(t):
     dry = raw.where("precipitacion_mm <= 2")
     weather.update_store(dry, path)
     lo, hi = raw.agg(F.min("Fecha"), F.max("Fecha")).first()
-    holes = weather.missing_intervals(t.spark.read.parquet(path), lo, hi, raw.select("Zona").distinct())
+    holes = weather.missing_intervals(weather.read_store(raw, path), lo, hi, raw.select("Zona").distinct())
     days = holes.select("Zona", F.explode(F.sequence("desde", "hasta")).alias("Fecha"))
     weather.update_store(raw.join(days, ["Zona", "Fecha"], "left_semi"), path)
-    return t.spark.read.parquet(path).select(F.col("Fecha"), F.col("Zona").cast("string"), *weather.MEASURES, "weathercode")
+    return weather.read_store(raw, path).select("Fecha", "Zona", *weather.MEASURES, "weathercode")
 
 
 @query("weather_archive_forecast", W + WEATHER_RAW + """,
