@@ -128,3 +128,31 @@ def test_v1_model_and_jobs(spark, panel):
     assert jobs.month_evaluation(df, cut, rounds=4, depth=3, rate=0.9, subsample=1.0).first().MAE < 0.5
     today = jobs.today_forecast(df, dt.date(2026, 3, 5), bundle=v5.train(df, rounds=2, depth=1, rate=0.9, node_zone="C", v5=False))
     assert today.count() >= 2
+
+
+def test_equal_rows_are_one_cell(spark, monkeypatch):
+    """Rows of few kinds are packed as cells, with and without drawing, and give the models and losses of plain rows."""
+    rng = np.random.default_rng(3)
+    a, b, k = rng.integers(0, 5, 4000), rng.integers(0, 3, 4000), rng.integers(0, 3, 4000)
+    data = [(float(x), float(y), int(rng.random() < 0.2 + 0.1 * x), int(f)) for x, y, f in zip(a, b, k)]
+    df = spark.createDataFrame(data, "a double, b double, z int, fold int").coalesce(1)
+    specs = boosting.trials(boosting.Spec("", "logistic", rounds=6), [{"subsample": 0.7}, {"depth": 2}], 3)
+    sizes = []
+    packed = boosting._packed
+
+    def run():
+        fitted = boosting.fit(df, ["a", "b"], specs, "z", fold="fold", halving=(3,))
+        return {h[:5]: (h[5], h[6]) for h in fitted.history}
+
+    def noted(*args):
+        out = packed(*args)
+        sizes.append(out.agg(F.sum("n")).first()[0])
+        return out
+    monkeypatch.setattr(boosting, "_packed", noted)
+    cells = run()
+    monkeypatch.setattr(boosting, "_cells", lambda *columns: None)
+    rows = run()
+    assert sizes == [90, 4000]  # 5 x 3 feature values, 2 labels, 3 folds
+    assert cells.keys() == rows.keys()
+    for h in cells:
+        assert cells[h] == pytest.approx(rows[h], rel=1e-9)
