@@ -44,15 +44,10 @@ class PlainBytes(Encoder):
     """A byte-level tokenizer that takes the strings of special tokens as plain text."""
 
     def __init__(self, path: str):
-        super().__init__(path, keeps_space=True)
+        super().__init__(path, keeps_space=True, most=CACHE_PIECES)
         self.tokenizer.encode_special_tokens = True
         self.added = []
 
-    def encode(self, texts: list) -> list:
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        return super().encode(texts)
-
     def token_bytes(self) -> list:
         """The bytes of every id: the entry's characters stand for one byte each."""
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -1,14 +1,17 @@
 """Exact, fast use of a public tokenizer file: whole texts are cut where the tokenizer
 itself always cuts, and the ids of the pieces are remembered, so each distinct piece is
-encoded by the library once per worker."""
+encoded by the library once per worker while it stays in use."""
 from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
 CACHE_PIECES = 700_000
+#: characters of the longest piece whose ids are remembered
+KEPT_LENGTH = 64
 _ODD_SPACE = re.compile(r"[^\S \n]")
 #: Texts of these characters alone are cut between letters and other characters. Outside
 #: them (an apostrophe can open a contraction, a numeral can be no digit) only white space cuts.
@@ -17,6 +20,31 @@ _LETTERS = r"[^\W\d_]+"
 _OTHERS = r"(?:[\d_]|[^\w \n])+"
 _FINE = {True: re.compile(rf" ?{_LETTERS}| ?{_OTHERS}|[ \n]+(?![^ \n])|[ \n]"), False: re.compile(f"{_LETTERS}|{_OTHERS}")}
 _COARSE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_STOPS = (",", ".")
+#: byte -> the character that stands for it in the entries of a byte-level tokenizer
+_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: b for b in _BYTES} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _BYTES)}
+
+
+class _Known(dict):
+    """piece -> its ids, found by ``find`` at the first use. At half of ``most`` pieces a new
+    generation begins: pieces still in use are taken over, the others go with the generation
+    after. Long pieces, which seldom come again, are not kept."""
+
+    def __init__(self, find, most: int):
+        super().__init__()
+        self.find, self.most, self.old = find, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.find(piece)
+        if len(piece) <= KEPT_LENGTH:
+            if len(self) >= self.most // 2:
+                self.old = self.copy()
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -24,64 +52,59 @@ class Encoder:
     ``tokenizer.encode(text, add_special_tokens=False)``. Texts that hold the string of an
     added token (as <|endoftext|>) or white space other than blank and newline are encoded
     whole. ``keeps_space``: the tokenizer's pieces hold white space and case;
-    else it drops both."""
+    else it drops both. ``most``: pieces that are remembered."""
 
-    def __init__(self, path: str, keeps_space: bool):
+    def __init__(self, path: str, keeps_space: bool, most: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.keeps_space = keeps_space
-        self.known: dict[str, bytes] = {}
-        if keeps_space:
-            (self._newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        else:
-            vocabulary = self.tokenizer.get_vocab()
-            self._word_end = np.zeros(max(vocabulary.values()) + 1, bool)
-            self._word_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _learn(self, new: list) -> None:
-        """Encode pieces not met so far. Runs of letters are one unit of the tokenizer each, so
-        many go in one text, and the ids are cut at the newlines (or at the ends of words)."""
-        letters = [p for p in new if (p[1:] if p[0] == " " else p).isalpha() and _PLAIN.match(p)]
-        for i in range(0, len(letters), 2000):
-            part = letters[i:i + 2000]
-            ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            if self.keeps_space:
-                breaks = np.flatnonzero(ids == self._newline)
-                starts, ends = np.concatenate(([0], breaks + 1)), np.concatenate((breaks, [len(ids)]))
-            else:
-                ends = np.flatnonzero(self._word_end[ids]) + 1
-                starts = np.concatenate(([0], ends[:-1]))
-            if len(starts) != len(part):  # a tokenizer that cuts otherwise: one by one
-                self.known.update(zip(part, self._ids(part)))
-                continue
-            raw = ids.tobytes()
-            self.known.update((p, raw[4 * a:4 * b]) for p, a, b in zip(part, starts.tolist(), ends.tolist()))
-        rest = list(set(new).difference(letters))
-        self.known.update(zip(rest, self._ids(rest)))
-
-    def _ids(self, texts: list) -> list:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
+        self.known = _Known(self._find, most)
+        # a run of letters is one unit for the library's model, unless this tokenizer treats them otherwise
+        self._model = self.tokenizer.model.tokenize
+        probes = ["the", "straße", "çàéñõþÿ", "qzxjkvw" * 9] + ([" The", " ÉaBcÐé", " iPhone"] if keeps_space else [])
+        self._units = [self._unit(x) for x in probes] == [self._ids(x) for x in probes]
+
+    def _unit(self, piece: str) -> bytes:
+        """The ids of one run of letters, by the library's model alone: normalising and cutting,
+        which cost more than the merges, have nothing to do on it."""
+        shown = piece.replace(" ", "Ġ") if piece.isascii() else piece.encode().decode("latin-1").translate(_SHOWN)
+        ids = [x.id for x in self._model(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ids(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _find(self, piece: str) -> bytes:
+        """The ids of a piece not met so far; the parts of a plain one are looked up first."""
+        if not _PLAIN.match(piece):
+            return self._ids(piece)
+        if not self.keeps_space:
+            piece = piece.lower()
+        if self._units and (piece[1:] if piece[:1] == " " else piece).isalpha():
+            return self._unit(piece)
+        if self._units and piece[-1:] in _STOPS and piece[:-1].strip(" ").isalpha():
+            return self.known[piece[:-1]] + self.known[piece[-1]]
+        parts = _FINE[self.keeps_space].findall(piece)
+        return self._ids(piece) if len(parts) == 1 else b"".join(map(self.known.__getitem__, parts))
 
     def _pieces(self, text: str) -> list | None:
         if any(x in text for x in self.added):
             return None
-        if _PLAIN.match(text):
-            return _FINE[self.keeps_space].findall(text if self.keeps_space else text.lower())
-        if _ODD_SPACE.search(text):
+        plain = _PLAIN.match(text)
+        if not plain and _ODD_SPACE.search(text):
             return None
-        return _COARSE.findall(text) if self.keeps_space else text.split()
+        if not self.keeps_space:
+            return text.split()
+        if "  " in text or "\n " in text or "\0" in text:
+            return (_FINE[True] if plain else _COARSE).findall(text)
+        return text.replace(" ", "\0 ").split("\0")  # every blank opens a piece
 
     def encode(self, texts: list) -> list:
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        cut = [self._pieces(x) for x in texts]
-        self._learn(list(set().union(*(p for p in cut if p)).difference(known)))
-        get = known.__getitem__
-        return [self._ids([x])[0] if pieces is None else b"".join(map(get, pieces)) for x, pieces in zip(texts, cut)]
+        get = self.known.__getitem__
+        cut = map(self._pieces, texts)
+        return [self._ids(x) if pieces is None else b"".join(map(get, pieces)) for x, pieces in zip(texts, cut)]
 
 
 _ENCODERS: dict = {}

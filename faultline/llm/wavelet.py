@@ -43,7 +43,7 @@ def build_shard(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, bits: int)
     blocks_n = -(-len(ids) // BLOCK_BITS)
     directory, blocks, at = [], [], 0
     for shift in range(bits - 1, -1, -1):
-        ones = ((ids >> np.array(shift, ids.dtype)) & np.array(1, ids.dtype)).astype(bool)
+        ones = (ids & np.array(1 << shift, ids.dtype)).astype(bool)
         packed = np.packbits(ones)
         before = 0
         for b in range(blocks_n):
@@ -53,9 +53,9 @@ def build_shard(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, bits: int)
             directory.append((before, at, len(small)))
             blocks.append(small)
             at += len(small)
-            before += int(ones[b * BLOCK_BITS:(b + 1) * BLOCK_BITS].sum())
+            before += int(np.count_nonzero(ones[b * BLOCK_BITS:(b + 1) * BLOCK_BITS]))
         directory.append((before, at, 0))
-        ids = np.concatenate((ids[~ones], ids[ones]))
+        ids = np.concatenate((ids.take(np.flatnonzero(~ones)), ids.take(np.flatnonzero(ones))))
     table = np.array(directory, "<u8").tobytes()
     head = struct.pack("<Q", len(docs)) + docs + table
     return _HEAD.pack(MAGIC, bits, len(ids), len(lengths), _HEAD.size + len(head)) + head + b"".join(blocks)
@@ -149,11 +149,11 @@ class Shard:
         out = np.zeros(self.n, kind)
         for p in range(self.bits - 1, -1, -1):
             parts = [self._block(p, b) for b in range(self._directory.shape[1] - 1)]
-            ones = np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
+            ones = np.concatenate(parts).view(bool) if parts else np.zeros(0, bool)
             back = np.empty_like(out)
             z = self.zeros[p]
-            back[~ones] = out[:z]
-            back[ones] = out[z:] | kind(1 << (self.bits - 1 - p))
+            back[np.flatnonzero(~ones)] = out[:z]
+            back[np.flatnonzero(ones)] = out[z:] | kind(1 << (self.bits - 1 - p))
             out = back
         return out
 

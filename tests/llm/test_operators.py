@@ -428,3 +428,28 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, rows, empty):
     stage = corpus_pipeline.STAGES[-1][1]
     assert stage(spark, empty, out).count() == 0
     assert stage(spark, every, out).where("piece = 0").count() == len(kept)
+
+
+def test_encoder_remembers_in_generations():
+    """Pieces that stay in use are worked out once, however many others come between, in bounded memory."""
+    enc = Encoder(BYTE, True, most=200)
+    found, asked = enc.known.find, Counter()
+
+    def find(piece):
+        asked[piece] += 1
+        return found(piece)
+
+    enc.known.find = find
+    for i in range(400):
+        text = f"the cat, {prose(i, 30)} sat."
+        assert enc.encode([text])[0] == np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(enc.known) <= 100 and len(enc.known.old) <= 100
+    assert asked["the"] == asked[" cat,"] == asked[" sat."] == 1
+
+
+def test_encoder_cuts_like_the_library():
+    odd = ["a, b. c", "a ,b . c", " a,", "A.b c.", "x), y.. z", "é, ñ.\nÉa", "a\n b", "a \nb", "a \n \nb", " a  b", "a\0b c\0", "\0 a", ",", " ,", " .", "a.", "İ, ß.", "don't, x", "²,", " ", "名前, 犬. x"]
+    for path, keeps in ((BYTE, True), (PLAIN, False)):
+        enc = Encoder(path, keeps)
+        for x in odd * 2:
+            assert enc.encode([x])[0] == np.asarray(enc.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
