@@ -21,6 +21,8 @@ _OTHERS = r"(?:[\d_]|[^\w \n])+"
 _FINE = {True: re.compile(rf" ?{_LETTERS}| ?{_OTHERS}|[ \n]+(?![^ \n])|[ \n]"), False: re.compile(f"{_LETTERS}|{_OTHERS}")}
 _COARSE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _STOPS = (",", ".")
+#: a comma or full stop before white space that ends no word or number, so is part of a longer run
+_ODD_STOP = re.compile(r"[,.](?=[ \n])(?<![^\W_].)")
 #: byte -> the character that stands for it in the entries of a byte-level tokenizer
 _BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: b for b in _BYTES} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _BYTES)}
@@ -99,7 +101,10 @@ class Encoder:
             return text.split()
         if "  " in text or "\n " in text or "\0" in text:
             return (_FINE[True] if plain else _COARSE).findall(text)
-        return text.replace(" ", "\0 ").split("\0")  # every blank opens a piece
+        cut = text.replace(" ", "\0 ")  # every blank opens a piece
+        if not _ODD_STOP.search(text):
+            cut = cut.replace(",\0", "\0,\0").replace(".\0", "\0.\0").replace(".\n", "\0.\0\n")
+        return cut.split("\0")
 
     def encode(self, texts: list) -> list:
         get = self.known.__getitem__
@@ -110,11 +115,11 @@ class Encoder:
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, keeps_space: bool) -> Encoder:
+def encoder(path: str, keeps_space: bool, most: int = CACHE_PIECES) -> Encoder:
     """One encoder per Python worker and file."""
-    if (path, keeps_space) not in _ENCODERS:
-        _ENCODERS[path, keeps_space] = Encoder(path, keeps_space)
-    return _ENCODERS[path, keeps_space]
+    if (path, keeps_space, most) not in _ENCODERS:
+        _ENCODERS[path, keeps_space, most] = Encoder(path, keeps_space, most)
+    return _ENCODERS[path, keeps_space, most]
 
 
 def slices(sizes, most: int):

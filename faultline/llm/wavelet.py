@@ -32,6 +32,8 @@ from faultline.llm.encode import encoder, slices
 MAGIC = b"WVM1"
 BLOCK_BITS = 1 << 15
 SHARD_TOKENS = 1 << 20
+#: distinct pieces whose ids a Python worker keeps here, where nothing else takes its memory
+CACHE_PIECES = 1_400_000
 _HEAD = struct.Struct("<4sIQII")  # magic, bits, ids, documents, first byte of the planes
 
 
@@ -165,7 +167,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_tokens:
     def shards(batches):
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        enc = encoder(tokenizer, keeps_space=True)
+        enc = encoder(tokenizer, keeps_space=True, most=CACHE_PIECES)
         bits = max(1, (max(enc.tokenizer.get_vocab_size(), end_id + 1) - 1).bit_length())
         kind = np.uint16 if bits <= 16 else np.uint32
         end = np.asarray([end_id], "<u4").tobytes()
