@@ -13,7 +13,7 @@ class Stop(Exception):
     pass
 
 
-@pytest.mark.parametrize("query, train", [("resolution_feature_importances", "train_resolution_regressor")])
+@pytest.mark.parametrize("query, train", [("resolution_feature_importances", "train_resolution_regressor"), ("sla_classifier_report", "train_sla_classifier")])
 def test_query_trains_with_the_whole_search(monkeypatch, query, train):
     whole, given = getattr(models, train), {}
 
